@@ -3,37 +3,27 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rollcall.functions.text import clean_int, left_pad, strip_quotes
+from rollcall.functions.text import clean_int, short_code, strip_quotes
 from rollcall.labels import BENEFIT_NAMES, GOVERNMENT_LEVELS, NO_BENEFIT, OTHER_BENEFIT
 
-LAST_STATE = 32
-MUNICIPALITY_END = 999
-LOCALITY_END = 9999
-
-
-def _within(n: Column, end: int) -> Column:
-    return (n > 0) & (n < end)
+STATES = "[1-9]|[12][0-9]|3[0-2]"
+MUNICIPALITIES = "(?!999)[1-9][0-9]{0,2}"
+LOCALITIES = "(?!9999)[1-9][0-9]{0,3}"
 
 
 def state_code(c: Column) -> Column:
     """Two-digit state code, or null outside 1..32."""
-    n = clean_int(c)
-    return F.when(_within(n, LAST_STATE + 1), left_pad(n, 2))
+    return short_code(c, STATES, 2)
 
 
 def muni_code(muni: Column, state: Column) -> Column:
     """State and municipality as one five-digit code, or null when either is out of range."""
-    m, s = clean_int(muni), state.try_cast("int")
-    return F.when(
-        _within(m, MUNICIPALITY_END) & _within(s, LAST_STATE + 1),
-        F.concat(left_pad(s, 2), left_pad(m, 3)),
-    )
+    return F.concat(state_code(state), short_code(muni, MUNICIPALITIES, 3))
 
 
 def loc_code(c: Column) -> Column:
     """Four-digit locality code, or null outside 1..9998."""
-    n = clean_int(c)
-    return F.when(_within(n, LOCALITY_END), left_pad(n, 4))
+    return short_code(c, LOCALITIES, 4)
 
 
 def gender_code(c: Column) -> Column:
@@ -59,7 +49,8 @@ def period_month(period: Column) -> Column:
 
 def pay_month(raw: Column, month: Column) -> Column:
     """The corresponding month, where the raw payment month is a non-zero number."""
-    return F.when((clean_int(raw, "bigint") != 0) & month.between(1, 12), month)
+    paid = strip_quotes(raw).rlike(r"^\s*[+-]?0*[1-9][0-9]*\s*$")
+    return F.when(paid & month.between(1, 12), month)
 
 
 def pay_month_own(raw: Column) -> Column:
@@ -72,11 +63,11 @@ def benefit_name(
     c: Column, other: str | None = OTHER_BENEFIT, missing: str | None = NO_BENEFIT
 ) -> Column:
     """Name of a benefit type; ``other`` for unlisted numbers, ``missing`` for non-numbers."""
-    n = clean_int(c, "bigint")
-    name = F.when(n.isNull(), F.lit(missing))
-    for code, label in BENEFIT_NAMES.items():
-        name = name.when(n == code, label)
-    return name.otherwise(F.lit(other))
+    text = strip_quotes(c)
+    names = F.create_map(*[F.lit(x) for pair in BENEFIT_NAMES.items() for x in pair])
+    digit = F.regexp_extract(text, r"^\s*\+?0*([0-9])\s*$", 1)
+    unnamed = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.lit(other)).otherwise(F.lit(missing))
+    return F.coalesce(F.element_at(names, F.nullif(digit, F.lit("")).cast("int")), unnamed)
 
 
 def gov_level(c: Column) -> Column:

@@ -17,12 +17,33 @@ def trim_text(c: Column) -> Column:
 
 def strip_quotes(c: Column) -> Column:
     """Remove every double quote; missing stays missing."""
-    return F.translate(c, '"', "")
+    return F.replace(c, F.lit('"'), F.lit(""))
 
 
-def clean_int(c: Column, to: str = "int") -> Column:
-    """Whole number written as text, quotes and outer blanks allowed; anything else is null."""
-    return strip_quotes(c).try_cast(to)
+#: Text of a whole number, with room for every 64-bit cast to succeed.
+_WHOLE = r"^\s*[+-]?0*[0-9]{1,18}\s*$"
+
+
+def clean_int(c: Column) -> Column:
+    """Whole number written as text, quotes and outer blanks allowed; anything else is null.
+
+    The text is checked before the cast, as a failing cast costs far more than the check.
+    Numbers beyond 32 bits are null.
+    """
+    n = clean_long(c)
+    return F.when(n.between(-(2**31), 2**31 - 1), n.cast("int"))
+
+
+def clean_long(c: Column) -> Column:
+    """As ``clean_int``, for numbers of up to 18 digits."""
+    text = strip_quotes(c)
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+
+
+def short_code(c: Column, digits: str, width: int) -> Column:
+    """A positive number whose digits match ``digits``, zero-padded to ``width``; else null."""
+    value = F.regexp_extract(strip_quotes(c), rf"^\s*\+?0*({digits})\s*$", 1)
+    return F.nullif(F.lpad(value, width, "0"), F.lit("0" * width))
 
 
 def number_text(c: Column) -> Column:
@@ -48,8 +69,8 @@ def scrub_quotes(c: Column) -> Column:
 
 
 def scrub_text(c: Column) -> Column:
-    """Remove double quotes and turn no-break spaces into spaces, in one pass."""
-    return F.translate(c, '\u00a0"', " ")
+    """Remove double quotes and turn no-break spaces into spaces."""
+    return F.replace(strip_quotes(c), F.lit("\u00a0"), F.lit(" "))
 
 
 def blank_missing(c: Column) -> Column:

@@ -33,7 +33,7 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
     c = F.col
     base = raw.withColumns(
         {
-            "newid": text.clean_int(c("newid"), "bigint"),
+            "newid": text.clean_long(c("newid")),
             "anio": text.clean_int(c("anio")),
             "mescorresp": codes.period_month(c("periodo")),
             "cdsexo": codes.gender_code(c("cdsexo")),
@@ -43,6 +43,7 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
             "cvelocpago": codes.loc_code(c("cdlocpago")),
             "cveent": codes.state_code(c("cveent")),
             "cveloc": codes.loc_code(c("cveloc")),
+            "_born": person.birth_number(c("fhnacimiento")),
             "nombretipobeneficio": codes.benefit_name(
                 c("cdtipobeneficio"), edition.other_benefit, edition.no_benefit
             ),
@@ -56,7 +57,7 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
     derived = base.withColumns(
         {
             "numespago": month,
-            "age": person.age_at_month(c("fhnacimiento"), c("anio"), c("mescorresp")),
+            "age": person.age_at_month(c("_born"), c("anio"), c("mescorresp")),
             "cvemunipago": codes.muni_code(c("cdmunpago"), c("cveentpago")),
             "cvemuni": codes.muni_code(c("cvemun"), c("cveent")),
             "programatipo": keys.program_type_key(
@@ -75,7 +76,7 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
                 for name in ("nbprimerap", "nbsegundoap", "nbnombre")
             },
         }
-    )
+    ).drop("_born")
 
 
 def enrich_catalogue(cleaned: DataFrame, catalogue: DataFrame, **limits) -> DataFrame:

@@ -1,5 +1,7 @@
 """The registered queries: ``name -> (spark, sf_dir) -> DataFrame``."""
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from rollcall.schemas import (
     RAW_COLUMNS,
 )
 from rollcall.scratch import scratch_folder
+from rollcall.session import tuned
 from rollcall.sinks.tables import register_table, write_partitioned, write_years
 from rollcall.sinks.text import as_text, write_pipe_csv
 from rollcall.sources import dimensions as dims
@@ -48,7 +51,13 @@ QUERIES = {}
 
 
 def query(run):
-    QUERIES[run.__name__] = run
+    """Register a query under its name, run with the recommended settings."""
+
+    @wraps(run)
+    def tuned_run(spark, sf_dir):
+        return run(tuned(spark), sf_dir)
+
+    QUERIES[run.__name__.removesuffix("_query")] = tuned_run
     return run
 
 
@@ -80,9 +89,13 @@ def clean_int(spark, sf_dir):
 
 
 def _aged(spark, sf_dir):
-    month = codes.period_month(c("periodo"))
-    age = person.age_at_month(c("fhnacimiento"), text.clean_int(c("anio")), month)
-    return _raw(spark, sf_dir).withColumn("age", age)
+    parts = {
+        "born": person.birth_number(c("fhnacimiento")),
+        "anio": text.clean_int(c("anio")),
+        "month": codes.period_month(c("periodo")),
+    }
+    age = person.age_at_month(c("born"), c("anio"), c("month"))
+    return _raw(spark, sf_dir).withColumns(parts).withColumn("age", age)
 
 
 @query
@@ -584,5 +597,5 @@ def missing_in_catalog(spark, sf_dir):
 
 
 def registered():
-    """Queries by their public names."""
-    return {name.removesuffix("_query"): run for name, run in QUERIES.items()}
+    """All queries by name."""
+    return dict(QUERIES)
