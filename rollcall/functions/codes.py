@@ -18,7 +18,12 @@ def state_code(c: Column) -> Column:
 
 def muni_code(muni: Column, state: Column) -> Column:
     """State and municipality as one five-digit code, or null when either is out of range."""
-    return F.concat(state_code(state), short_code(muni, MUNICIPALITIES, 3))
+    return muni_in_state(muni, state_code(state))
+
+
+def muni_in_state(muni: Column, code: Column) -> Column:
+    """As ``muni_code``, for a state code that is clean already."""
+    return F.concat(code, short_code(muni, MUNICIPALITIES, 3))
 
 
 def loc_code(c: Column) -> Column:

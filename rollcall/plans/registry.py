@@ -58,8 +58,8 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
         {
             "numespago": month,
             "age": person.age_at_month(c("_born"), c("anio"), c("mescorresp")),
-            "cvemunipago": codes.muni_code(c("cdmunpago"), c("cveentpago")),
-            "cvemuni": codes.muni_code(c("cvemun"), c("cveent")),
+            "cvemunipago": codes.muni_in_state(c("cdmunpago"), c("cveentpago")),
+            "cvemuni": codes.muni_in_state(c("cvemun"), c("cveent")),
             "programatipo": keys.program_type_key(
                 c("cdprograma"), c("cdpadron"), c("nombretipobeneficio")
             ),

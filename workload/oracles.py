@@ -639,7 +639,7 @@ def statements() -> dict[str, str]:
             + f" SELECT cuaps_folio, '{d}' AS derecho, {d} AS presente FROM survey_programmes"
             for d in DUMMIES
         ),
-        "pivot_back": _survey_rows(", ".join(DUMMIES)),
+        "pivot_back": _survey_rows(", ".join(f"CAST({d} AS BIGINT) AS {d}" for d in DUMMIES)),
         "catalog_latest": (
             f"{with_views('programme_catalogue')}{LATEST} SELECT * FROM latest"
         ),
