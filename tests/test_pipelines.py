@@ -163,6 +163,14 @@ def test_missing_month_and_table_registration(spark, tmp_path):
     spark.sql("DROP TABLE registered_months")
 
 
+def test_append_adds_and_overwrite_replaces(spark, tmp_path):
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 3), (2, 4)], "newid int, numespago int")
+    for mode, count in (("overwrite", 2), ("append", 4), ("overwrite", 2)):
+        write_partitioned(df, root, ["numespago"], mode=mode)
+        assert spark.read.parquet(root).count() == count
+
+
 def test_documents_are_line_pairs(spark, tmp_path):
     path = str(tmp_path / "docs")
     lines = queries()["bulk_docs"](spark, SF)
