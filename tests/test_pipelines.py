@@ -109,7 +109,7 @@ ROW = {
 
 
 def test_file_reading_and_repair(spark, tmp_path):
-    path = tmp_path / "2020-01" / "pub_2015.txt"
+    path = tmp_path / "2020-01" / "registry_2015.txt"
     path.parent.mkdir()
     text = registry_lines([{**ROW, "anio": "2015", "nbnombre": "“Peña” €"}])
     path.write_bytes(text.replace("“", "").replace("”", "").encode("cp1252"))
@@ -141,13 +141,13 @@ def test_stream_replaces_years_and_repeats_nothing(spark, tmp_path):
         )
 
     first = [{**ROW, "anio": "2011", "newid": str(i), "periodo": f"17{i}"} for i in (1, 2)]
-    deliver(tmp_path / "inbox" / "a", "pub_2011.txt", first, 1_600_000_000)
-    deliver(tmp_path / "inbox" / "a", "pub_2012.txt", [{**ROW, "anio": "2012", "newid": "9"}], 1_600_000_100)
+    deliver(tmp_path / "inbox" / "a", "registry_2011.txt", first, 1_600_000_000)
+    deliver(tmp_path / "inbox" / "a", "registry_2012.txt", [{**ROW, "anio": "2012", "newid": "9"}], 1_600_000_100)
     expected = [(2011, 1, 1, "Ana"), (2011, 2, 2, "Ana"), (2012, 3, 9, "Ana")]
     assert run() == expected
     assert run() == expected
     # A later delivery of 2011 lacks a month, which then disappears; 2012 stays.
-    deliver(tmp_path / "inbox" / "2020-b", "pub_2011.txt", first[1:], 1_600_000_200)
+    deliver(tmp_path / "inbox" / "2020-b", "registry_2011.txt", first[1:], 1_600_000_200)
     assert run() == expected[1:]
     assert spark.read.parquet(full).count() == 2
 
