@@ -2,9 +2,9 @@
 
 from pyspark.sql import SparkSession
 
-#: Runtime SQL settings.  The cleaning step is one wide projection; fused with its neighbours it
-#: becomes a method the JVM never compiles, which took twice as long when measured.  Above this
-#: many bytes of code Spark runs the operators one by one, each compiled.
+#: Runtime SQL settings.  The cleaning step is one wide projection.  Above this many bytes of
+#: fused code Spark runs the operators one by one instead, which halved its time when measured
+#: (8.1 s to 4.2 s for 600,000 rows); the cause was not established.
 RECOMMENDED = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
