@@ -31,3 +31,30 @@ def free_name(df: DataFrame, base: str) -> str:
 def text_of(column: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def run_number() -> Column:
+    """The input partition a row came from: the way hot keys are cut."""
+    return F.spark_partition_id().cast("bigint").alias("_run")
+
+
+def met_by_run(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of ``rows`` with a ``_run`` to a table with one row per (non-null) key.
+
+    The keys of each run meet the table first, then the rows their run's answer, so a key
+    with a third of all rows is met by as many tasks as there are runs.
+    """
+    by_run = rows.select(*keys, "_run").distinct().join(found, keys, "left")
+    return rows.join(by_run, [*keys, "_run"], "left")
+
+
+def batches(column, limit: int):
+    """Slices ``(start, end)`` of an Arrow text column of about ``limit`` bytes each."""
+    start = size = 0
+    for i, text in enumerate(column):
+        size += len(text.as_buffer()) if text.is_valid else 0
+        if size >= limit:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(column):
+        yield start, len(column)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, urls
+from rollcall.llm import exact, simhash, urls
 from rollcall.llm.common import table
 
 c = F.col
@@ -28,6 +28,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@query
+def op2_simhash_dedup(spark, sf_dir):
+    groups = simhash.near_groups(_documents(spark, sf_dir), words=3, bits=2)
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
 @query
 def op3_exact_dedup(spark, sf_dir):
     return exact.exact_groups(_documents(spark, sf_dir)).drop("_row")
