@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, simhash, urls
+from rollcall.llm import exact, quality, secrets, simhash, urls
 from rollcall.llm.common import table
 
 c = F.col
@@ -28,6 +28,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@query
+def op1_quality(spark, sf_dir):
+    return quality.scored(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_simhash_dedup(spark, sf_dir):
     groups = simhash.near_groups(_documents(spark, sf_dir), words=3, bits=2)
@@ -80,6 +85,18 @@ FROM fitting WHERE place = 1
 """
 
 
+@query
+def op6_secret_scans(spark, sf_dir):
+    spans = secrets.scanned(_documents(spark, sf_dir))
+    return spans.select(
+        "doc_id",
+        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+          for k in secrets.BASE_KINDS],
+        F.lower(F.sha2(secrets.span_text("base").cast("binary"), 256)).alias("base_sha256"),
+        secrets.span_text("spans").alias("spans"),
+    )
+
+
 def registered():
     return dict(QUERIES)
 
