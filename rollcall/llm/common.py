@@ -1,14 +1,37 @@
 """Reading given tables, materialising intermediate ones, and column names that never clash."""
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.scratch import scratch_folder
 
+_SHIPPED = set()
+
 #: White space of the contracts, as a character class for Java, Python and DuckDB patterns.
 WHITE = r"\x20\x09-\x0D"
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session with this package on its executors' path, once per application.
+
+    The driver serves the archive to the executors; no shared folder is needed for it.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp()}/{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

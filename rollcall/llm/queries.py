@@ -1,10 +1,12 @@
 """The registered queries of the subpackage, and their DuckDB statements where SQL can say them."""
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, quality, secrets, simhash, urls
-from rollcall.llm.common import table
+from rollcall.llm import exact, pii, piecewise, quality, secrets, simhash, urls
+from rollcall.llm.common import shipped, table
 
 c = F.col
 QUERIES = {}
@@ -20,8 +22,14 @@ URL_RULES = [
 
 
 def query(run):
-    QUERIES[run.__name__] = run
-    return run
+    """Register a query under its name; executors get the package first."""
+
+    @wraps(run)
+    def shipped_run(spark, sf_dir):
+        return run(shipped(spark), sf_dir)
+
+    QUERIES[run.__name__] = shipped_run
+    return shipped_run
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +64,11 @@ WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op4_piecewise(spark, sf_dir):
+    return piecewise.compared(_documents(spark, sf_dir))
+
+
 @query
 def op5_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, urls.RULES)
@@ -97,6 +110,11 @@ def op6_secret_scans(spark, sf_dir):
     )
 
 
+@query
+def op10_pii(spark, sf_dir):
+    return pii.pseudonymised(_documents(spark, sf_dir), pii.EXAMPLE_KEY)
+
+
 def registered():
     return dict(QUERIES)
 
