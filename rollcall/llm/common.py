@@ -36,10 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written as a table in the shared folder and read again: its lineage ends here."""
     folder = scratch_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", codec).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -2,13 +2,17 @@
 
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, pii, piecewise, quality, secrets, simhash, urls
+from rollcall.llm import exact, huffman, packing, pii, piecewise, quality, secrets, simhash, urls
 from rollcall.llm.common import shipped, table
+from rollcall.scratch import scratch_folder
 
 c = F.col
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 QUERIES = {}
 STATEMENTS = {}
 
@@ -110,6 +114,20 @@ def op6_secret_scans(spark, sf_dir):
     )
 
 
+@query
+def op8_token_files(spark, sf_dir):
+    folder = scratch_folder(spark, "token-files")
+    huffman.write_ids(_documents(spark, sf_dir), folder, WORD_VOCABULARY, end_id=1)
+    return huffman.read_ids(spark, folder).select(
+        c("_id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query
+def op9_packing(spark, sf_dir):
+    return packing.packed(_documents(spark, sf_dir), WORD_VOCABULARY, end_id=2).drop("ids")
+
+
 @query
 def op10_pii(spark, sf_dir):
     return pii.pseudonymised(_documents(spark, sf_dir), pii.EXAMPLE_KEY)
