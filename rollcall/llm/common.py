@@ -56,6 +56,23 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def row_number(given: str | None) -> Column:
+    """The given column of unique row numbers, or numbers by place in the input."""
+    return F.col(given) if given else F.monotonically_increasing_id()
+
+
+def without_dropped(docs: DataFrame, groups) -> DataFrame:
+    """The rows of ``docs`` that ``groups(numbered docs, number column)`` keeps, all columns.
+
+    Rows are numbered once in a written copy, so decisions find their rows even where ids are
+    null or repeated.
+    """
+    row = free_name(docs, "_row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    dropped = groups(numbered, row).where(~F.col("kept")).select(F.col("_row").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(*docs.columns)
+
+
 def run_number() -> Column:
     """The input partition a row came from: the way hot keys are cut."""
     return F.spark_partition_id().cast("bigint").alias("_run")

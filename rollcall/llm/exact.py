@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import WHITE, stored, text_of
+from rollcall.llm.common import WHITE, row_number, run_number, stored, text_of
 
 #: Runs that one merge brings together.
 FAN_IN = 16
@@ -17,21 +17,23 @@ def normalised(text: str) -> Column:
     return F.regexp_replace(text_of(text), _UNEVEN, " ")
 
 
-def digest_rows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+def digest_rows(docs: DataFrame, id_column: str, text: str, row: Column) -> DataFrame:
     """One narrow row per document, written once: its id, a row number, digests, its run.
 
     A run is the input partition the row came from.  Rows are sorted by a 64-bit digest;
     SHA-256 and length verify it wherever two entries meet.
     """
-    narrow = docs.select(F.col(id_column).alias("_id"), normalised(text).alias("_text"))
+    narrow = docs.select(
+        F.col(id_column).alias("_id"), row.alias("_row"), normalised(text).alias("_text")
+    )
     return stored(
         narrow.select(
             "_id",
-            F.monotonically_increasing_id().alias("_row"),
+            "_row",
             F.xxhash64("_text").alias("_digest"),
             F.octet_length("_text").alias("_size"),
             F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_sha"),
-            F.spark_partition_id().cast("bigint").alias("_run"),
+            run_number(),
         ),
         "digests",
     )
@@ -56,16 +58,20 @@ def merged_runs(leaves: DataFrame, runs: int, fan_in: int = FAN_IN) -> DataFrame
 
 
 def exact_groups(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", fan_in: int = FAN_IN
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    row: str | None = None,
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """One row per document: ``_row``, id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Equal texts form a group; its row with the smallest id stays.  Rows with the same id and
-    text are ordered by their place in the input, so exactly one row of each group is kept.  A
-    null id comes after all others; a group of null ids has a null ``keep_id``.  Null and
+    text are ordered by their place in the input (or the unique numbers in ``row``), so exactly
+    one row of each group is kept.  A null id comes after all others; a group of null ids has a null ``keep_id``.  Null and
     empty texts are equal, and equal to no other.  An empty table gives an empty result.
     """
-    rows = digest_rows(docs, id_column, text)
+    rows = digest_rows(docs, id_column, text, row_number(row))
     last = rows.agg(F.max("_run")).first()[0]
     leaves = rows.groupBy(*_KEY, "_run").agg(
         F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_row")).alias("_first"),

@@ -9,11 +9,11 @@ import zlib
 from functools import cache
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import text_of
+from rollcall.llm.common import free_name, text_of
 
 #: Kinds whose spans the pattern alone decides, in the order that breaks ties of position.
 BASE_KINDS = ["assign", "access", "hex"]
@@ -137,11 +137,14 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
 def span_column(text: str) -> Column:
     """The spans of a text column."""
 
-    @F.pandas_udf("array<struct<kind:string,start:bigint,end:bigint>>")
-    def scan(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: [{"kind": k, "start": s, "end": e} for k, s, e in spans_of(t)]
-        )
+    kind = pa.list_(
+        pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+    )
+
+    @F.arrow_udf("array<struct<kind:string,start:bigint,end:bigint>>")
+    def scan(texts: pa.Array) -> pa.Array:
+        found = (spans_of(text.as_py()) for text in texts)
+        return pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in f] for f in found], kind)
 
     return scan(text_of(text))
 
@@ -167,22 +170,31 @@ def scanned(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     )
 
 
-def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+def masked(text: str, mark: str = "[secret]") -> str:
     """The text with every span, or union of overlapping ones, replaced by a mark."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-
-    def step(so_far, span):
-        fresh = span["start"] >= so_far["at"]
-        kept = F.substring(text, (so_far["at"] + 1).cast("int"), (span["start"] - so_far["at"]).cast("int"))
-        return F.struct(
-            F.when(fresh, F.concat(so_far["out"], kept, F.lit(mark)))
-            .otherwise(so_far["out"]).alias("out"),
-            F.greatest(so_far["at"], span["end"]).alias("at"),
-        )
-
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(
-            spans, start, step,
-            lambda end: F.concat(end["out"], F.substring(text, (end["at"] + 1).cast("int"), F.length(text))),
-        )
-    )
+    parts, at = [], 0
+    for _, start, end in spans_of(text):
+        if start >= at:
+            parts += [text[at:start], mark]
+        at = max(at, end)
+    return "".join(parts) + text[at:]
+
+
+def redacted(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFrame:
+    """The rows with every secret in the text masked; a column ``size`` counts anew.
+
+    Rows without a secret stay as they are, null texts included.
+    """
+
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([masked(t.as_py()) if t.is_valid else None for t in texts], pa.string())
+
+    name = free_name(docs, "_clean")
+    found = docs.withColumn(name, clean(F.col(text).cast("string")))
+    changed = F.col(text) != F.col(name)
+    anew = {text: F.col(name)}
+    if size in docs.columns:
+        count = F.length(name).cast(docs.schema[size].dataType)
+        anew[size] = F.when(changed, count).otherwise(F.col(size))
+    return found.select([anew.get(c, F.col(c)).alias(c) for c in docs.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import gam
-from rollcall.llm.common import batches, text_of
+from rollcall.llm.common import batches, free_name, text_of
 
 #: Labelled rows the model is fitted to: all up to this many, else about as many by a hash.
 FIT_ROWS = 50_000
@@ -194,3 +194,12 @@ def scored(
         F.col(id_column), held_out(id_column).alias("held_out"), score.alias("score")
     )
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows whose score is at least one half, with all their columns."""
+    name = free_name(docs, "_score")
+    score = score_column(fitted(docs, labels, id_column, text), text)
+    return docs.withColumn(name, score).where(F.col(name) >= 0.5).select(*docs.columns)

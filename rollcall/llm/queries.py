@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import exact, huffman, packing, pii, piecewise, quality, secrets, simhash, urls
+from rollcall.llm import bpe, exact, huffman, leaks, packing, pii, piecewise, quality, simhash, urls
 from rollcall.llm.common import shipped, table
 from rollcall.scratch import scratch_folder
 
@@ -104,13 +104,25 @@ FROM fitting WHERE place = 1
 
 @query
 def op6_secret_scans(spark, sf_dir):
-    spans = secrets.scanned(_documents(spark, sf_dir))
+    spans = leaks.scanned(_documents(spark, sf_dir))
     return spans.select(
         "doc_id",
         *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
-          for k in secrets.BASE_KINDS],
-        F.lower(F.sha2(secrets.span_text("base").cast("binary"), 256)).alias("base_sha256"),
-        secrets.span_text("spans").alias("spans"),
+          for k in leaks.BASE_KINDS],
+        F.lower(F.sha2(leaks.span_text("base").cast("binary"), 256)).alias("base_sha256"),
+        leaks.span_text("spans").alias("spans"),
+    )
+
+
+@query
+def op7_byte_bpe(spark, sf_dir):
+    tokens = bpe.tokenised(_documents(spark, sf_dir), RANKS)
+    digest = lambda column: F.lower(F.sha2(column.cast("binary"), 256))
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        digest(F.array_join(c("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        digest(c("decoded")).alias("decoded_sha256"),
     )
 
 

@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import met_by_run, run_number, stored, text_of
+from rollcall.llm.common import met_by_run, row_number, run_number, stored, text_of
 from rollcall.llm.components import component_roots
 
 BITS, SEGMENTS = 64, 2
@@ -36,7 +36,7 @@ def fingerprint(text: str, words: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str, text: str, words: int) -> DataFrame:
+def fingerprints(docs: DataFrame, id_column: str, text: str, words: int, row: Column) -> DataFrame:
     """``_id``, ``_row``, ``_run`` and the fingerprint ``_print`` of each row, written once."""
 
     def hashed(parts):
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, id_column: str, text: str, words: int) -> Data
             yield part.drop_columns(["_text"]).append_column("_print", signed)
 
     rows = docs.select(
-        F.col(id_column).alias("_id"), F.monotonically_increasing_id().alias("_row"),
+        F.col(id_column).alias("_id"), row.alias("_row"),
         run_number(), text_of(text).alias("_text"),
     )
     kind = dict(docs.dtypes)[id_column]
@@ -140,6 +140,7 @@ def near_groups(
     text: str = "text",
     words: int = 3,
     bits: int = 2,
+    row: str | None = None,
 ) -> DataFrame:
     """One row per document: ``_row``, id, ``fingerprint``, ``component_id``, ``kept``.
 
@@ -147,12 +148,12 @@ def near_groups(
     shingle hashes them all, one without words (null or empty) has fingerprint zero and is
     linked like any other.  Documents whose fingerprints differ in ``bits`` or fewer are
     linked; the smallest id reachable is the component's, and its row is kept.  Rows of one id
-    are ordered by their place in the input; null ids come last, and a component of null ids
+    are ordered by their place in the input (or the unique numbers in ``row``); null ids come last, and a component of null ids
     has a null id.  An empty table gives an empty result.
 
     Equal fingerprints are one node, so copies cost nothing in the search.
     """
-    rows = fingerprints(docs, id_column, text, words)
+    rows = fingerprints(docs, id_column, text, words, row_number(row))
     nodes = stored(
         rows.groupBy("_print").agg(
             F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_row")).alias("_first")
