@@ -105,10 +105,10 @@ FROM fitting WHERE place = 1
 @query
 def op6_secret_scans(spark, sf_dir):
     spans = leaks.scanned(_documents(spark, sf_dir))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
     return spans.select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
-          for k in leaks.BASE_KINDS],
+        *[number(kind).alias(f"n_{kind}") for kind in leaks.BASE_KINDS],
         F.lower(F.sha2(leaks.span_text("base").cast("binary"), 256)).alias("base_sha256"),
         leaks.span_text("spans").alias("spans"),
     )
