@@ -1,15 +1,35 @@
 """Token ids of whole texts by a ``tokenizers`` vocabulary, word by word."""
 
+import json
 import os
 from functools import cache
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
 #: Words remembered by a worker: so many recent ones, and as many before them.
 REMEMBERED = 400_000
+#: Pieces remembered by a worker.
+PIECES = 200_000
 #: Letters of the longest word that is remembered.
 LONG = 64
+#: Below this letter no text changes under NFC, and lower case and classes are settled.
+_SETTLED = "ƀ"
+
+
+class _Words(dict):
+    """Ids by word; a word that is not held is encoded."""
+
+    def __init__(self, encode):
+        super().__init__({"": b""})
+        self.encode = encode
+
+    def __missing__(self, word):
+        ids = self.encode(word)
+        if len(word) <= LONG:
+            self[word] = ids
+        return ids
 
 
 class WordEncoder:
@@ -18,52 +38,74 @@ class WordEncoder:
     Texts are cut at spaces, tabs and line breaks only.  This holds for vocabularies whose
     pre-tokenizer drops white space, so that no token reaches across it; the constructor
     tries that.  Strings of special tokens are ordinary text.
+
+    Of a vocabulary that lowers the text, cuts it by one pattern and maps its bytes, words of
+    settled letters skip the library's general path: their pieces go straight to its model.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        whole = self.tokenizer.encode("an example\n of\ttext ", add_special_tokens=False).ids
-        if self._encoded(["an", "example", "of", "text"]) != [
-            np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-            for w in ("an", "example", "of", "text")
-        ] or b"".join(self._encoded(["an", "example", "of", "text"])) != np.array(whole, "<u4").tobytes():
+        trial = "an example's\n of\ttext, über 42 "
+        if b"".join(self._general(w) for w in trial.split()) != self._general(trial):
             raise ValueError(f"tokens of {path} reach across white space")
-        self.recent, self.before = {"": b""}, {}
+        self.pattern = self._pattern(json.loads(self.tokenizer.to_str()))
+        self.tokenize, self.pieces = self.tokenizer.model.tokenize, {}
+        # The printable stand-ins of bytes, in the order of the bytes they stand for.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.recent, self.before = _Words(self._word), {}
 
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        octets = np.array(found.ids, dtype="<u4").tobytes()
-        owner = np.array([w for w in found.word_ids], dtype=np.int64)
-        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
-        starts = np.concatenate(([0], ends[:-1]))
-        return [octets[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    @staticmethod
+    def _pattern(parts: dict):
+        """The splitting pattern, if the vocabulary works as the short path does."""
+        try:
+            steps = [n["type"] for n in parts["normalizer"]["normalizers"]]
+            split, octets = parts["pre_tokenizer"]["pretokenizers"]
+            known = (
+                steps == ["NFC", "Replace", "Lowercase"]
+                and parts["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+                and (split["type"], split["behavior"], split["invert"]) == ("Split", "Removed", True)
+                and (octets["type"], octets["add_prefix_space"], octets["use_regex"])
+                == ("ByteLevel", False, False)
+            )
+            return regex.compile(split["pattern"]["Regex"]) if known else None
+        except (KeyError, TypeError, ValueError):
+            return None
+
+    def _general(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if len(self.pieces) >= PIECES:
+            self.pieces.clear()
+        shown = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        ids = np.array([t.id for t in self.tokenize(shown)], "<u4").tobytes()
+        if len(piece) <= LONG:
+            self.pieces[piece] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        known = self.before.get(word)
+        if known is not None:
+            return known
+        if self.pattern is None or max(word) >= _SETTLED or not word.isprintable():
+            return self._general(word)
+        held = self.pieces
+        found = [held.get(p) or self._piece(p) for p in self.pattern.findall(word.lower())]
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [
-            t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts
-        ]
         if len(self.recent) > REMEMBERED:
-            self.recent, self.before = {"": b""}, self.recent
-        recent, before = self.recent, self.before
-        wanted = set().union(*split).difference(recent)
-        known = wanted.intersection(before)
-        for word in known:
-            recent[word] = before[word]
-        fresh = list(wanted - known)
-        long = []
-        for start in range(0, len(fresh), 10_000):
-            words = fresh[start : start + 10_000]
-            for word, ids in zip(words, self._encoded(words), strict=True):
-                recent[word] = ids
-                if len(word) > LONG:
-                    long.append(word)
-        found = [b"".join(map(recent.__getitem__, words)) for words in split]
-        for word in long:
-            del recent[word]
-        return found
+            self.recent, self.before = _Words(self._word), self.recent
+        ids = self.recent.__getitem__
+        return [
+            b"".join(map(ids, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+            for t in texts
+        ]
 
 
 @cache
