@@ -19,7 +19,7 @@ LEAF = 24
 #: Bytes up to which the lowest rank is looked for by a plain scan.
 DIRECT = 64
 #: Texts' segments, and pairs of tokens, that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Ids that are decoded directly; longer lists are halved.
 LEAF_IDS = 1 << 14
 CHUNK = 2 << 20

@@ -14,7 +14,7 @@ from rollcall.llm.tokens import id_type, word_encoder
 #: Longest code, in bits: the decoding table has two to this power entries.
 LIMIT = 18
 #: Ids after which a block ends, at the next end of a document; ids between checkpoints.
-BLOCK_IDS, STRIDE = 1 << 18, 256
+BLOCK_IDS, STRIDE = 1 << 16, 128
 CHUNK = 2 << 20
 _HEAD = struct.Struct("<4sIQQI")
 _MAGIC = b"IDS1"
@@ -87,6 +87,8 @@ class Coder:
         lengths = self.lengths[ids]
         offsets = np.cumsum(lengths) - lengths
         total = int(lengths.sum())
+        if total >= 1 << 32:
+            raise ValueError("a block's offsets are 32-bit: end blocks earlier")
         shift = (64 - (offsets & 31) - lengths).astype(np.uint64)
         value = self.codes[ids] << shift
         word, n = offsets >> 5, total // 32 + 2
@@ -97,7 +99,7 @@ class Coder:
         names = np.array([d or 0 for d in docs], dtype="<i8")
         return b"".join((
             _HEAD.pack(_MAGIC, len(docs), len(ids), start, STRIDE), known.tobytes(), names.tobytes(),
-            np.array(sizes, dtype="<u4").tobytes(), offsets[::STRIDE].astype("<u8").tobytes(),
+            np.array(sizes, dtype="<u4").tobytes(), offsets[::STRIDE].astype("<u4").tobytes(),
             bits.astype(">u4").tobytes(),
         ))
 
@@ -115,7 +117,7 @@ class Coder:
             return part
 
         known, names, sizes = take(np.uint8, n_docs), take("<i8", n_docs), take("<u4", n_docs)
-        lanes = take("<u8", -(-n_ids // stride)).astype(np.int64)
+        lanes = take("<u4", -(-n_ids // stride)).astype(np.int64)
         octets = np.frombuffer(block, np.uint8, offset=at).astype(np.uint32)
         octets = np.concatenate((octets, np.zeros(4, np.uint32)))
         windows = octets[:-3] << 24 | octets[1:-2] << 16 | octets[2:-1] << 8 | octets[3:]
@@ -239,7 +241,8 @@ def write_ids(
     def coded(parts):
         coder = Coder(lengths)
         for batch in parts:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 ids = np.frombuffer(row["ids"], kind)
                 block = coder.block(ids, row["docs"], row["sizes"], bases[row["part"]] + row["at"])
                 yield pa.RecordBatch.from_arrays(
