@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 from rollcall.functions.text import clean_int, short_code, strip_quotes
 from rollcall.labels import BENEFIT_NAMES, GOVERNMENT_LEVELS, NO_BENEFIT, OTHER_BENEFIT
 
-STATES = "[1-9]|[12][0-9]|3[0-2]"
-MUNICIPALITIES = "(?!999)[1-9][0-9]{0,2}"
-LOCALITIES = "(?!9999)[1-9][0-9]{0,3}"
+#: Greatest code of each kind; they begin at 1.
+STATES, MUNICIPALITIES, LOCALITIES = 32, 998, 9998
 
 
 def state_code(c: Column) -> Column:

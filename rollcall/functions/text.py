@@ -20,8 +20,8 @@ def strip_quotes(c: Column) -> Column:
     return F.replace(c, F.lit('"'), F.lit(""))
 
 
-#: Text of a whole number, with room for every 64-bit cast to succeed.
-_WHOLE = r"^\s*[+-]?0*[0-9]{1,18}\s*$"
+#: Text of a whole number of up to nineteen digits.
+_WHOLE = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
 
 
 def clean_int(c: Column) -> Column:
@@ -35,15 +35,15 @@ def clean_int(c: Column) -> Column:
 
 
 def clean_long(c: Column) -> Column:
-    """As ``clean_int``, for numbers of up to 18 digits."""
+    """As ``clean_int``, for 64-bit numbers; numbers beyond are null."""
     text = strip_quotes(c)
     return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
 
 
-def short_code(c: Column, digits: str, width: int) -> Column:
-    """A positive number whose digits match ``digits``, zero-padded to ``width``; else null."""
-    value = F.regexp_extract(strip_quotes(c), rf"^\s*\+?0*({digits})\s*$", 1)
-    return F.nullif(F.lpad(value, width, "0"), F.lit("0" * width))
+def short_code(c: Column, last: int, width: int) -> Column:
+    """A whole number from 1 to ``last``, zero-padded to ``width``; else null."""
+    n = clean_long(c)
+    return F.when(n.between(1, last), F.lpad(n.cast("string"), width, "0"))
 
 
 def number_text(c: Column) -> Column:
@@ -63,11 +63,6 @@ def pad_state(c: Column) -> Column:
     return F.when(code == 0, MISSING).otherwise(left_pad(code, 2))
 
 
-def scrub_quotes(c: Column) -> Column:
-    """Remove runs of double quotes inside free text."""
-    return strip_quotes(c)
-
-
 def scrub_text(c: Column) -> Column:
     """Remove double quotes and turn no-break spaces into spaces."""
     return F.replace(strip_quotes(c), F.lit("\u00a0"), F.lit(" "))

@@ -107,3 +107,9 @@ MISSING = "null"
 
 DOCUMENT_TYPE = "catalogo"
 KEYWORD_LIMIT = 256
+
+#: Document fields with a copy for exact matches.
+KEYWORD_FIELDS = [
+    "nb_programa", "derechos_sociales", "nb_origen", "nb_subp1", "origen", "criterios_focalizacion",
+    "nom_ent",
+]

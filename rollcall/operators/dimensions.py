@@ -1,13 +1,10 @@
-"""Joins of large tables to dimensions, safe for large dimensions and hot keys."""
+"""Joins of large tables to dimensions."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Largest measured payload of a side that is sent to every executor.
 BROADCAST_BYTES = 64 << 20
-#: Ways a hot key is split when its dimension is too large to broadcast.
-SALTS = 32
-_SALT = "_salt"
 _FIELD_OVERHEAD = 16
 
 
@@ -23,70 +20,46 @@ def payload_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def left_lookup(
-    df: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    spread: list[str],
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+def given_lookup(
+    df: DataFrame, dim: DataFrame, on: list[str], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Left join to a dimension on equally named keys; repeated dimension keys fan out.
+    """Left join to a given dimension on equally named keys; repeated dimension keys fan out.
 
-    The dimension is measured first.  Up to ``max_bytes`` it is broadcast and ``df`` is not
-    shuffled.  A larger one is joined by shuffle, with each of its rows repeated under every
-    salt and each row of ``df`` under one, so a key holding much of ``df`` is met by
-    ``salts`` tasks.  The salt is a hash of the ``spread`` columns of ``df``, so a lost task
-    computes the same one again.
+    The dimension, a given table that costs one short aggregate, is measured.  Up to
+    ``max_bytes`` it is broadcast and ``df`` is not shuffled; beyond that see ``left_lookup``.
     """
     if payload_bytes(dim) <= max_bytes:
         return df.join(F.broadcast(dim), on, "left")
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, _SALT], "left").drop(_SALT)
-
-
-def membership(
-    df: DataFrame,
-    keys: DataFrame,
-    on: list[str],
-    spread: list[str],
-    flag: str,
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
-) -> DataFrame:
+    return left_lookup(df, dim, on)
+
+
+def left_lookup(df: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
+    """Left join to a derived dimension on equally named keys.
+
+    Nothing is run to plan it: adaptive execution broadcasts the dimension if its shuffled
+    size allows it, and splits the partitions of ``df`` that a hot key fills by their sizes.
+    """
+    return df.join(dim, on, "left")
+
+
+def membership(df: DataFrame, keys: DataFrame, on: list[str], flag: str) -> DataFrame:
     """Add ``flag``: 1 where the row's key is among ``keys``, else 0."""
     known = keys.select(*on).dropna().distinct().withColumn(flag, F.lit(1))
-    marked = left_lookup(df, known, on, spread, max_bytes, salts)
-    return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
+    return left_lookup(df, known, on).withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 
-def without_match(
-    df: DataFrame,
-    keys: DataFrame,
-    on: list[str],
-    spread: list[str],
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Anti join: the rows whose key is not among ``keys``."""
-    flagged = membership(df, keys, on, spread, "_known", max_bytes, salts)
-    return flagged.where(F.col("_known") == 0).drop("_known")
-
-
-def outer_lookup(
-    df: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    spread: list[str],
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
-) -> DataFrame:
+def without_match(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Anti join: the rows whose key is not among ``keys``; a missing key never is."""
+    return df.join(keys.select(*on).dropna().distinct(), on, "left_anti")
+
+
+def outer_lookup(df: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
     """Full outer join of a table with hot keys to a dimension without them.
 
     A full outer join can be neither broadcast nor split by key, so it is taken apart: every
-    row of ``df`` with its dimension rows, then the dimension rows no row of ``df`` has.
+    row of ``df`` with its dimension rows, then the dimension rows no row of ``df`` has.  Both
+    sides are read twice, so the caller gives written tables.
     """
-    matched = left_lookup(df, dim, on, spread, max_bytes, salts)
-    rest = dim.join(df.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(rest, allowMissingColumns=True)
+    return left_lookup(df, dim, on).unionByName(
+        without_match(dim, df, on), allowMissingColumns=True
+    )

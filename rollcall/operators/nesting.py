@@ -3,75 +3,39 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.dimensions import left_lookup
-
-#: Most entries one output row lists.
-LIST_ROWS = 100_000
-_KEY, _SIZE, _COPIES, _PIECE, _PART, _BAG = "_key", "_size", "_copies", "_piece", "_part", "_bag"
+_COPIES = "_copies"
 
 
 def nest(
     df: DataFrame,
     keys: list[str],
     lists: dict[str, Column],
-    totals: dict[str, Column] | None = None,
-    list_rows: int = LIST_ROWS,
+    least: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per key with each of ``lists`` gathered, copies included, nulls left out, sorted.
 
-    ``totals`` are aggregates of the whole group.  A group of more than ``list_rows`` rows
-    comes as several rows with the same keys and totals, each listing a share of the entries;
-    together they list them all.  Which groups are that large is counted first, with partial
-    sums before the shuffle.  Their entries are counted by value before the shuffle too, and
-    shares are set by a hash of the entry, so no task gathers such a group.
+    ``least`` adds the smallest value of an expression in each group.  Two fixed steps, at every
+    size: equal entries of a key are counted, with partial counts before a shuffle by key and
+    entry, so a key or an entry with much of the rows is met by many tasks; then the distinct
+    entries of each key come together with their counts, are sorted, and are written out as
+    often as they were counted.  A list is one value of one row, so the last step needs room
+    for the longest list; rows of one entry each are the operators' inputs themselves.
     """
-    sums = [c.alias(name) for name, c in (totals or {}).items()]
-    # The key as one non-null text, so that missing key parts join like others.
-    entries = df.withColumn(_KEY, F.to_json(F.struct(*keys)))
-    large = (
-        entries.groupBy(_KEY)
-        .agg(F.count(F.lit(1)).alias(_SIZE), *sums)
-        .where(F.col(_SIZE) > list_rows)
+    extra = least or {}
+    entries = df.select(
+        *keys, *[c.alias(name) for name, c in lists.items()], *[c.alias(name) for name, c in extra.items()]
     )
-    if large.isEmpty():
-        return _gathered(df, keys, lists, sums)
-    marked = left_lookup(entries, large.select(_KEY, _SIZE), [_KEY], df.columns)
-    small = _gathered(marked.where(F.col(_SIZE).isNull()), keys, lists, sums)
-    pieces = _pieces(marked.where(F.col(_SIZE).isNotNull()), keys, lists, list_rows)
-    shares = _shares(pieces, keys, lists, list_rows)
-    whole = left_lookup(shares, large.drop(_SIZE), [_KEY], [_PART])
-    return small.unionByName(whole.select(*small.columns))
-
-
-def _gathered(df, keys, lists, sums):
-    columns = [F.sort_array(F.collect_list(c)).alias(name) for name, c in lists.items()]
-    return df.groupBy(*keys).agg(*columns, *sums)
-
-
-def _pieces(entries, keys, lists, list_rows):
-    """Equal entries counted together, and the counts cut so that none is large."""
-    cut = max(1, list_rows // 10)
-    return (
-        entries.select(_KEY, _SIZE, *keys, *[c.alias(name) for name, c in lists.items()])
-        .groupBy(_KEY, _SIZE, *keys, *lists)
-        .agg(F.count(F.lit(1)).alias(_COPIES))
-        .withColumn(_PIECE, F.explode(F.expr(f"sequence(0, ({_COPIES} - 1) div {cut})")))
-        .withColumn(_COPIES, F.least(F.lit(cut), F.col(_COPIES) - F.col(_PIECE) * cut))
+    counted = entries.groupBy(*keys, *lists).agg(
+        F.count(F.lit(1)).alias(_COPIES), *[F.min(name).alias(name) for name in extra]
     )
-
-
-def _shares(pieces, keys, lists, list_rows):
-    """Pieces of one group spread over rows of about ``list_rows`` entries each."""
-    share = F.pmod(F.xxhash64(_PIECE, *lists), F.ceil(F.col(_SIZE) / list_rows))
-    bag = F.collect_list(F.struct(*lists, _COPIES))
-    grouped = (
-        pieces.withColumn(_PART, share).groupBy(_KEY, *keys, _PART).agg(bag.alias(_BAG))
+    return counted.groupBy(*keys).agg(
+        *[_listed(name).alias(name) for name in lists],
+        *[F.min(name).alias(name) for name in extra],
     )
-    return grouped.select(_KEY, _PART, *keys, *[_listed(name).alias(name) for name in lists])
 
 
-def _listed(name):
-    """The sorted entries of one list in a bag of counted pieces."""
-    pairs = F.transform(_BAG, lambda x: F.struct(x[name].alias("entry"), x[_COPIES].alias("n")))
-    present = F.sort_array(F.filter(pairs, lambda x: x["entry"].isNotNull()))
-    return F.flatten(F.transform(present, lambda x: F.array_repeat(x["entry"], x["n"].cast("int"))))
+def _listed(name: str) -> Column:
+    """The sorted entries of one list, each as often as it was counted."""
+    pair = F.struct(F.col(name).alias("entry"), F.col(_COPIES).cast("int").alias("n"))
+    pairs = F.sort_array(F.collect_list(F.when(F.col(name).isNotNull(), pair)))
+    return F.flatten(F.transform(pairs, lambda x: F.array_repeat(x["entry"], x["n"])))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.text import scrub_quotes, scrub_text, trim_text
+from rollcall.functions.text import scrub_text, strip_quotes, trim_text
 from rollcall.labels import MISSING
 
 
@@ -30,7 +30,7 @@ def scrub_columns(df: DataFrame) -> DataFrame:
 
 def scrub_quotes_columns(df: DataFrame) -> DataFrame:
     """Remove quotes from all text columns."""
-    return _each_string(df, scrub_quotes)
+    return _each_string(df, strip_quotes)
 
 
 def typed_fill(df: DataFrame) -> DataFrame:

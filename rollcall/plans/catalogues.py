@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions.lists import without_blanks
-from rollcall.functions.text import blank_missing, number_text
-from rollcall.labels import MISSING
+from rollcall.functions.text import blank_missing, keyword_field, number_text
+from rollcall.labels import KEYWORD_FIELDS, MISSING
 from rollcall.operators.checks import assert_columns
 from rollcall.operators.dedupe import latest_per_key
 from rollcall.operators.dimensions import left_lookup, membership, outer_lookup, without_match
-from rollcall.operators.nesting import LIST_ROWS, nest
+from rollcall.operators.nesting import nest
 from rollcall.operators.reshape import scrub_columns, string_columns
 from rollcall.plans.survey import (
     FOLIO,
@@ -25,6 +25,7 @@ from rollcall.schemas import (
     NESTED_FEATURE_COLUMNS,
     REGISTER_FIELDS,
 )
+from rollcall.scratch import materialised
 from rollcall.sinks.text import bulk_lines, nested_nulls
 
 #: Last year that counts as history in the listed catalogue.
@@ -51,10 +52,15 @@ def latest_catalogue(catalogue: DataFrame) -> DataFrame:
     return normal_numbers(scrub_columns(fill_missing(latest)))
 
 
-def nested_registers(catalogue: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+def register_rows(catalogue: DataFrame) -> DataFrame:
+    """The register of each catalogue row, cleaned, as a row of its own."""
+    return normal_numbers(scrub_columns(fill_missing(catalogue))).select(REGISTER_FIELDS)
+
+
+def nested_registers(catalogue: DataFrame) -> DataFrame:
     """All registers of each programme and year as one list of records."""
-    clean = normal_numbers(scrub_columns(fill_missing(catalogue)))
-    return nest(clean, _KEYS, {"padrones": F.struct(*REGISTER_FIELDS)}, list_rows=list_rows)
+    clean = register_rows(catalogue)
+    return nest(clean, _KEYS, {"padrones": F.struct(*REGISTER_FIELDS)})
 
 
 def catalogue_core(catalogue: DataFrame) -> DataFrame:
@@ -90,20 +96,21 @@ def nested_catalogue(
     criteria: DataFrame,
     components: DataFrame,
     profiles: DataFrame,
-    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """Catalogue programmes and surveyed programmes, matched where they can be."""
     core = catalogue_core(catalogue)
-    keyed = program_keys(programmes, pairs)
-    surveyed = survey_features(keyed, criteria, components, list_rows)
+    surveyed = survey_features(program_keys(programmes, pairs), criteria, components)
     return _with_defaults(_matched(core, surveyed), profiles)
 
 
 def _matched(core: DataFrame, surveyed: DataFrame) -> DataFrame:
-    """Full outer match of ``cd_programa`` and ``id_pub``, the two columns kept apart."""
-    left = core.withColumns({"_key": F.col("cd_programa")})
-    right = surveyed.withColumn("_key", F.col("id_pub"))
-    return outer_lookup(right, left, ["_key"], [FOLIO]).drop("_key")
+    """Full outer match of ``cd_programa`` and ``id_pub``, the two columns kept apart.
+
+    Both sides are written once, as the match reads them twice.
+    """
+    left = materialised(core.withColumn("_key", F.col("cd_programa")), "core")
+    right = materialised(surveyed.withColumn("_key", F.col("id_pub")), "surveyed")
+    return outer_lookup(right, left, ["_key"]).drop("_key")
 
 
 def _with_defaults(matched: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -120,24 +127,31 @@ def _with_defaults(matched: DataFrame, profiles: DataFrame) -> DataFrame:
         "nb_subp1": F.coalesce("nb_subp1", F.array(F.lit(MISSING))),
     }
     profiled = profiles.select(F.col("cve_programa").alias("cd_programa"))
-    flagged = membership(
-        matched.withColumns(names), profiled, ["cd_programa"], [FOLIO], "tiene_perfil"
-    )
+    flagged = membership(matched.withColumns(names), profiled, ["cd_programa"], "tiene_perfil")
     final = fill_missing(flagged.select(NESTED_FEATURE_COLUMNS))
     return assert_columns(final, NESTED_FEATURE_COLUMNS)
 
 
 def feature_documents(features: DataFrame, index: str) -> DataFrame:
-    """Bulk lines of the nested catalogue; missing texts inside nested values are nulls."""
-    present = features.where(F.col("cd_programa") != "")
-    return bulk_lines(nested_nulls(present), index)
+    """Bulk lines of the nested catalogue; missing texts inside nested values are nulls.
+
+    The fields that are searched by exact value have a copy ``<name>_keyword``.
+    """
+    present = nested_nulls(features.where(F.col("cd_programa") != ""))
+    copies = {
+        f"{c}_keyword": F.transform(c, lambda x: keyword_field(x))
+        if isinstance(present.schema[c].dataType, T.ArrayType)
+        else keyword_field(F.col(c))
+        for c in KEYWORD_FIELDS
+    }
+    return bulk_lines(present.withColumns(copies), index)
 
 
 def missing_in_survey(features: DataFrame, keyed: DataFrame) -> DataFrame:
     """Catalogue programmes that no survey covers, with missing texts blanked."""
     ids = keyed.select(F.col("id_pub").alias("cd_programa"))
     rows = features.where(F.col("cd_programa") != MISSING)
-    report = without_match(rows, ids, ["cd_programa"], [FOLIO]).select(MISSING_REPORT_COLUMNS)
+    report = without_match(rows, ids, ["cd_programa"]).select(MISSING_REPORT_COLUMNS)
     return report.withColumns({c: blank_missing(F.col(c)) for c in string_columns(report)})
 
 
@@ -149,7 +163,7 @@ def missing_in_catalog(keyed: DataFrame, catalogue: DataFrame) -> DataFrame:
     rows = keyed.where(F.col("id_pub") != MISSING).select(
         "id_pub", FOLIO, "DGAE", "DGAIP", "chr_nombre_programa_cuaps"
     )
-    return without_match(rows, ids, ["id_pub"], [FOLIO])
+    return without_match(rows, ids, ["id_pub"])
 
 
 _LISTED = [
@@ -159,11 +173,12 @@ _LISTED = [
 _NAMES = ["nb_origen", "nb_programa", "origen"]
 
 
-def listed_catalogue_core(catalogue: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """One row per programme and year: its names, and its registers as parallel lists.
+def listed_catalogue_core(catalogue: DataFrame) -> DataFrame:
+    """One row per programme and year: its names, and the fields of its registers as lists.
 
-    Lists and names come from one grouping.  Entry ``i`` of every list belongs to the same
-    catalogue row; rows with several names take the first in order.
+    Lists and names come from one grouping.  Every list is in the order of the registers, but
+    blanks are left out of each list by itself, so entries of two lists belong to the same
+    register only where neither has blanks.  Rows with several names take the first in order.
     """
     clean = fill_missing(normal_numbers(catalogue)).withColumns(
         {c: F.translate(c, "\u00a0", " ") for c in [*_NAMES, "nb_subp1"]}
@@ -172,8 +187,7 @@ def listed_catalogue_core(catalogue: DataFrame, list_rows: int = LIST_ROWS) -> D
         clean,
         _KEYS,
         {"_rows": F.struct(*_LISTED)},
-        totals={"_names": F.min(F.struct(*_NAMES))},
-        list_rows=list_rows,
+        {"_names": F.struct(*_NAMES)},
     )
     lists = [without_blanks(F.col("_rows")[c]).alias(c) for c in _LISTED]
     return grouped.select(*_KEYS, *lists, "_names.*")
@@ -184,7 +198,7 @@ def listed_survey(
 ) -> DataFrame:
     """Surveyed programmes with their rights and support types as lists."""
     keyed = listed_program_keys(programmes, pairs)
-    joined = left_lookup(keyed, support_types(components), [FOLIO], [FOLIO])
+    joined = left_lookup(keyed, support_types(components), [FOLIO])
     empty = F.array().cast("array<string>")
     return joined.withColumn("tipos_apoyos", F.coalesce("tipos_apoyos", empty))
 
@@ -195,15 +209,15 @@ def listed_catalogue(
     pairs: DataFrame,
     components: DataFrame,
     last_history_year: int = LAST_HISTORY_YEAR,
-    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
-    """Current programme years matched with the survey, and older years as they are."""
-    core = listed_catalogue_core(catalogue, list_rows)
-    year = F.col("anio").cast("int")
-    matched = _matched(
-        core.where(year > last_history_year), listed_survey(programmes, pairs, components)
-    )
-    history = core.where(year <= last_history_year)
+    """Current programme years matched with the survey, and older years as they are.
+
+    A programme whose year is missing or no number is current.
+    """
+    core = materialised(listed_catalogue_core(catalogue), "listed-core")
+    past = F.coalesce(F.col("anio").try_cast("int") <= last_history_year, F.lit(False))
+    matched = _matched(core.where(~past), listed_survey(programmes, pairs, components))
+    history = core.where(past)
     rows = matched.unionByName(history, allowMissingColumns=True)
     none, unknown = F.array().cast("array<string>"), F.array(F.lit(MISSING))
     lists = {c: F.coalesce(c, none) for c in _LISTED}

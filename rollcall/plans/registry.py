@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from rollcall.functions import codes, keys, person, text
 from rollcall.labels import AGE_LABELS, NO_BENEFIT, OTHER_BENEFIT
 from rollcall.operators.checks import assert_columns
-from rollcall.operators.dimensions import left_lookup
+from rollcall.operators.dimensions import given_lookup
 from rollcall.operators.rules import amount_rules, exclude_rule
-from rollcall.schemas import FULL_COLUMNS, PUBLIC_COLUMNS
+from rollcall.schemas import FULL_COLUMNS
 from rollcall.sources.dimensions import geography, registry_catalogue
 
 
@@ -38,7 +38,7 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
             "mescorresp": codes.period_month(c("periodo")),
             "cdsexo": codes.gender_code(c("cdsexo")),
             "origen": codes.origin_code(c("nborigen"), edition.missing_origin),
-            "nuimpmonetario": text.clean_int(c("nuimpmonetario")),
+            "nuimpmonetario": text.clean_long(c("nuimpmonetario")),
             "cveentpago": codes.state_code(c("cdentpago")),
             "cvelocpago": codes.loc_code(c("cdlocpago")),
             "cveent": codes.state_code(c("cveent")),
@@ -79,19 +79,19 @@ def clean_registry(raw: DataFrame, edition: Edition = CURRENT) -> DataFrame:
     ).drop("_born")
 
 
-def enrich_catalogue(cleaned: DataFrame, catalogue: DataFrame, **limits) -> DataFrame:
+def enrich_catalogue(cleaned: DataFrame, catalogue: DataFrame, **limit) -> DataFrame:
     """Add programme names, by unified id within the delivery year's catalogue."""
     names = registry_catalogue(catalogue)
-    return left_lookup(cleaned, names, ["iduni", "file_year"], ["newid"], **limits)
+    return given_lookup(cleaned, names, ["iduni", "file_year"], **limit)
 
 
 def enrich_geography(
-    cleaned: DataFrame, municipalities: DataFrame, states: DataFrame, **limits
+    cleaned: DataFrame, municipalities: DataFrame, states: DataFrame, **limit
 ) -> DataFrame:
     """Add state code and name by municipality; they replace the registry's own."""
     places = geography(municipalities, states).select("cvemuni", "cveent", "noment")
     bare = cleaned.drop("cveent", "noment")
-    return left_lookup(bare, places, ["cvemuni"], ["newid"], **limits)
+    return given_lookup(bare, places, ["cvemuni"], **limit)
 
 
 def enriched_registry(
@@ -112,10 +112,6 @@ def full_table(enriched: DataFrame) -> DataFrame:
     return assert_columns(enriched.select(FULL_COLUMNS), FULL_COLUMNS)
 
 
-def public_table(enriched: DataFrame) -> DataFrame:
-    return assert_columns(enriched.select(PUBLIC_COLUMNS), PUBLIC_COLUMNS)
-
-
 def with_partition_year(enriched: DataFrame, columns: list[str]) -> DataFrame:
     """The table's columns and its year partition, the year of the delivery."""
     return enriched.select(*columns, F.col("file_year").alias("anio"))

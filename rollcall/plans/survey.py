@@ -14,7 +14,7 @@ from rollcall.labels import (
     SURVEY_BOOKKEEPING,
 )
 from rollcall.operators.dimensions import left_lookup
-from rollcall.operators.nesting import LIST_ROWS, nest
+from rollcall.operators.nesting import nest
 from rollcall.operators.reshape import (
     dummy_sums,
     scrub_quotes_columns,
@@ -41,7 +41,7 @@ def _budget_key() -> Column:
 
 def _with_registry_id(programmes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add ``id_pub``: the registry's key where the crosswalk has one, else the survey's."""
-    joined = left_lookup(programmes, crosswalk(pairs), ["DGAE"], [FOLIO])
+    joined = left_lookup(programmes, crosswalk(pairs), ["DGAE"])
     ids = joined.withColumn("id_pub", F.coalesce("DGAIP", "DGAE"))
     return scrub_quotes_columns(ids.fillna(MISSING, subset=string_columns(ids)))
 
@@ -97,10 +97,10 @@ def supports(components: DataFrame) -> DataFrame:
     )
 
 
-def nested_supports(components: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+def nested_supports(components: DataFrame) -> DataFrame:
     """Supports of each folio as one list of records."""
     rows = supports(components)
-    return nest(rows, [FOLIO], {"apoyos": F.struct(*rows.columns)}, list_rows=list_rows)
+    return nest(rows, [FOLIO], {"apoyos": F.struct(*rows.columns)})
 
 
 def support_types(components: DataFrame) -> DataFrame:
@@ -111,13 +111,11 @@ def support_types(components: DataFrame) -> DataFrame:
     return sums.select(FOLIO, types.alias("tipos_apoyos"))
 
 
-def survey_features(
-    keyed: DataFrame, criteria: DataFrame, components: DataFrame, list_rows: int = LIST_ROWS
-) -> DataFrame:
+def survey_features(keyed: DataFrame, criteria: DataFrame, components: DataFrame) -> DataFrame:
     """Programmes that have criteria, with their focus groups and supports as lists.
 
-    Criteria and supports are gathered in one grouping by folio, so both lists cost one
-    shuffle and need no join with each other.
+    Criteria and supports are gathered in one grouping by folio, so both lists need no join
+    with each other.
     """
     groups = focus_criteria(criteria)
     records = supports(components)
@@ -129,10 +127,8 @@ def survey_features(
         entries,
         [FOLIO],
         {c: F.col(c) for c in ("criterios_focalizacion", "apoyos")},
-        totals={"_criteria": F.count("criterios_focalizacion")},
-        list_rows=list_rows,
     )
-    listed = lists.where(F.col("_criteria") > 0).select(
+    listed = lists.where(F.size("criterios_focalizacion") > 0).select(
         FOLIO,
         without_blanks(F.col("criterios_focalizacion")).alias("criterios_focalizacion"),
         "apoyos",

@@ -72,7 +72,7 @@ PARTITION_COLUMNS = ["anio", "numespago"]
 _TYPES = {
     "newid": T.LongType(),
     "mescorresp": T.IntegerType(),
-    "nuimpmonetario": T.IntegerType(),
+    "nuimpmonetario": T.LongType(),
     "numespago": T.IntegerType(),
     "anio": T.IntegerType(),
 }

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="rollcall-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: its lineage ends here."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.option("compression", codec).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

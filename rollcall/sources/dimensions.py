@@ -15,7 +15,7 @@ def geography(municipalities: DataFrame, states: DataFrame) -> DataFrame:
     names = states.withColumnsRenamed({"CVE_ENT": "cveent", "NOM_ENT": "noment"}).select(
         "cveent", "noment"
     )
-    return left_lookup(munis, names, ["cveent"], ["cvemuni"])
+    return left_lookup(munis, names, ["cveent"])
 
 
 def crosswalk(table: DataFrame) -> DataFrame:

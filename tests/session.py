@@ -4,6 +4,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from rollcall.session import RECOMMENDED
+
 
 def local_session(cpus: str | None = None) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
@@ -15,6 +17,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config(map=RECOMMENDED)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -25,7 +25,8 @@ def singles(spark, column, *values):
 def test_clean_int(spark):
     values = ['"12"', " 12 ", "+7", "-3", "0005", "12.5", "", "x", None, "3000000000", "1_000", "9" * 30]
     assert singles(spark, text.clean_int(c("a")), *values) == [12, 12, 7, -3, 5] + [None] * 7
-    assert singles(spark, text.clean_long(c("a")), "3000000000", '"1"') == [3000000000, 1]
+    longs = ["3000000000", '"1"', "1000000000000000000", "9223372036854775807", "9223372036854775808"]
+    assert singles(spark, text.clean_long(c("a")), *longs) == [3000000000, 1, 10**18, 2**63 - 1, None]
 
 
 def test_age(spark):

@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.checks import assert_columns, assert_unique
+from rollcall.operators.checks import assert_columns
 from rollcall.operators.dedupe import latest_per_key
 from rollcall.operators.dimensions import (
+    given_lookup,
     left_lookup,
     membership,
     outer_lookup,
@@ -36,26 +37,48 @@ def dim(spark):
     return spark.createDataFrame(cells, "k string, v string")
 
 
-def test_lookup_by_salt_equals_broadcast(hot, dim):
-    small = left_lookup(hot, dim, ["k"], ["id"])
-    salted = left_lookup(hot, dim, ["k"], ["id"], max_bytes=0, salts=5)
-    assert rows(small) == rows(salted) == rows(hot.join(dim, "k", "left"))
+def test_given_lookup_is_measured(hot, dim):
+    small, large = given_lookup(hot, dim, ["k"]), given_lookup(hot, dim, ["k"], max_bytes=0)
+    assert rows(small) == rows(large) == rows(left_lookup(hot, dim, ["k"]))
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_key_is_split(spark):
+    """Adaptive execution splits the partition of a key with a third of the rows, null ids included."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        big = spark.range(0, 120_000, 1, 8).selectExpr(
+            "IF(id % 3 = 0, 0, id) AS k", "IF(id % 3 = 0, NULL, id) AS newid", "repeat('x', 40) AS v"
+        )
+        dim = spark.range(50_000).selectExpr("id AS k", "id * 2 AS w")
+        joined = left_lookup(big, dim, ["k"])
+        assert joined.count() == 120_000
+        joined.collect()
+        assert "skewed" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_outer_lookup_is_a_full_outer_join(hot, dim):
-    plain = rows(hot.join(dim, "k", "full_outer"))
-    assert rows(outer_lookup(hot, dim, ["k"], ["id"])) == plain
-    assert rows(outer_lookup(hot, dim, ["k"], ["id"], max_bytes=0)) == plain
+    assert rows(outer_lookup(hot, dim, ["k"])) == rows(hot.join(dim, "k", "full_outer"))
 
 
 def test_membership_and_anti_join(hot, dim):
-    for limit in (1 << 20, 0):
-        flagged = membership(hot, dim, ["k"], ["id"], "known", max_bytes=limit)
-        assert flagged.where("known = 1").count() == hot.where("k in ('hot', 'k1')").count()
-        assert flagged.count() == hot.count()
-        rest = without_match(hot, dim, ["k"], ["id"], max_bytes=limit)
-        assert rows(rest) == rows(hot.where("k is null or k not in ('hot', 'k1')"))
+    flagged = membership(hot, dim, ["k"], "known")
+    assert flagged.where("known = 1").count() == hot.where("k in ('hot', 'k1')").count()
+    assert flagged.count() == hot.count()
+    rest = without_match(hot, dim, ["k"])
+    assert rows(rest) == rows(hot.where("k is null or k not in ('hot', 'k1')"))
 
 
 def test_payload_bytes(spark, dim):
@@ -63,34 +86,30 @@ def test_payload_bytes(spark, dim):
     assert payload_bytes(dim) > 16 * 10
 
 
-def test_nest_plain(hot):
-    nested = nest(hot, ["k"], {"ids": F.col("id")}, {"n": F.count("id")})
-    got = {r.k: (r.ids, r.n) for r in nested.collect()}
-    assert got["hot"] == (sorted(range(0, 600, 3)), 200)
-    assert None in got and sum(n for _, n in got.values()) == 600
-
-
-def test_nest_splits_large_groups_and_loses_nothing(spark):
+def test_nest(spark):
     rng = random.Random(7)
     cells = [("hot", None if i % 5 == 0 else "same" if i % 2 else f"v{i}", i % 3) for i in range(900)]
     cells += [(None, f"n{i}", 0) for i in range(90)]
     cells += [(f"k{i % 9}", "v", i) for i in range(90)]
     rng.shuffle(cells)
-    df = spark.createDataFrame(cells, "k string, v string, x int")
-    lists = {"vs": F.col("v"), "xs": F.struct("x")}
-    totals = {"n": F.count(F.lit(1)), "most": F.max("x")}
-    whole = nest(df, ["k"], lists, totals).collect()
-    split = nest(df, ["k"], lists, totals, list_rows=50).collect()
-    assert len(split) > len(whole)
-    for row in whole:
-        parts = [p for p in split if p.k == row.k]
-        assert sorted(v for p in parts for v in p.vs) == row.vs
-        assert sorted(x for p in parts for x in p.xs) == row.xs
-        assert {(p.n, p.most) for p in parts} == {(row.n, row.most)}
-        assert all(p.vs == sorted(p.vs) for p in parts)
-        assert max(len(p.xs) for p in parts) <= 150
-    assert len([p for p in split if p.k == "hot"]) > 5
-    assert len([p for p in split if p.k is None]) > 1
+    df = spark.createDataFrame(cells, "k string, v string, x int").repartition(7)
+    nested = nest(df, ["k"], {"vs": F.col("v"), "xs": F.struct("x")}, {"least": F.col("x")})
+    got = {r.k: r for r in nested.collect()}
+    assert nested.count() == len(got) == len({k for k, _, _ in cells})
+    for key, row in got.items():
+        mine = [c for c in cells if c[0] == key]
+        assert row.vs == sorted(v for _, v, _ in mine if v is not None)
+        assert [x.x for x in row.xs] == sorted(x for _, _, x in mine)
+        assert row.least == min(x for _, _, x in mine)
+
+
+def test_nest_counts_equal_entries_before_it_shuffles(spark):
+    """One key with most rows, all of one value: each task sends one row of it."""
+    df = spark.range(0, 50_000, 1, 8).selectExpr("IF(id % 10 = 0, id, 0) AS k", "'same' AS v")
+    nested = nest(df, ["k"], {"vs": F.col("v")})
+    assert nested.count() == df.select("k").distinct().count()
+    assert nested.where("k = 0").first().vs == ["same"] * 45_001
+    assert "partial_count" in nested._jdf.queryExecution().toString()
 
 
 def test_latest_per_key(spark):
@@ -135,6 +154,4 @@ def test_typed_fill(spark):
 def test_checks(dim):
     with pytest.raises(ValueError):
         assert_columns(dim, ["v", "k"])
-    with pytest.raises(ValueError):
-        assert_unique(dim, ["k"])
-    assert assert_unique(dim, ["k", "v"]) is dim
+    assert assert_columns(dim, ["k", "v"]) is dim

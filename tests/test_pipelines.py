@@ -1,20 +1,21 @@
 """Plans, files, tables, the stream, and every registered query against its SQL."""
 
+import gzip
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from rollcall.plans import catalogues
 from rollcall.plans.monthly import monthly_catalog
 from rollcall.schemas import (
     FULL_COLUMNS,
     NESTED_FEATURE_COLUMNS,
+    FULL_SCHEMA,
     PUBLIC_COLUMNS,
+    PUBLIC_SCHEMA,
     RAW_COLUMNS,
 )
-from rollcall.sinks.tables import register_table, write_partitioned
+from rollcall.sinks.tables import published, register_table, write_partitioned
 from rollcall.sinks.text import write_documents
 from rollcall.sources.files import (
     decode_lines,
@@ -24,7 +25,8 @@ from rollcall.sources.files import (
 )
 from rollcall.streaming.arrivals import ingest_arrivals
 from tests.compare import difference, duckdb_tables
-from workload.queries import OLDER
+from workload.oracles import statements
+from workload.queries import OLDER, registered
 from workload.views import view
 
 SF = "/root/testdata/sf0.001"
@@ -45,20 +47,48 @@ def test_column_lists():
     assert len(NESTED_FEATURE_COLUMNS) == 18
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(statements()))
 def test_query_equals_its_sql(spark, con, name):
-    assert difference(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert difference(registered()[name](spark, SF), con, statements()[name]) is None
 
 
-def test_every_query_but_the_sample_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"sample_rows"}
+def test_every_query_has_sql():
+    assert set(registered()) == set(statements())
+    assert set(registered()) <= set(queries()) and set(statements()) <= set(oracle_sql())
 
 
 def test_sample(spark):
     rows = view(spark, SF, "raw_registry")
-    assert sample_rows(rows) is rows
+    assert sample_rows(rows, "newid") is rows
     first, again = (queries()["sample_rows"](spark, SF).count() for _ in range(2))
-    assert first == again and 0 < first < rows.count()
+    assert first == again and 0.05 < first / rows.count() < 0.15
+
+
+@pytest.mark.parametrize("name", ["nested_registers", "nested_supports", "program_features"])
+def test_nothing_runs_before_the_action(spark, name, monkeypatch):
+    """Planning runs no job but the reading of the files' schemas."""
+
+    def refuse(*_, **__):
+        raise AssertionError("an action while planning")
+
+    inputs = [view(spark, SF, v) for v in ("programme_catalogue", "survey_components")]
+    for method in ("count", "collect", "first", "take", "isEmpty", "toPandas"):
+        monkeypatch.setattr(type(inputs[0]), method, refuse)
+    assert queries()[name](spark, SF).columns
+
+
+@pytest.mark.parametrize("name", ["catalog_features", "feature_docs", "missing_in_survey"])
+def test_facts_are_scanned_once(spark, name):
+    text = plan(queries()[name](spark, SF))
+    assert text.count("lineitem") <= 1
+
+
+def test_queries_leave_the_session_alone(spark):
+    before, tables = dict(spark.conf.getAll), {t.name for t in spark.catalog.listTables()}
+    for name in ("publication", "table_register"):
+        queries()[name](spark, SF)
+    assert dict(spark.conf.getAll) == before
+    assert {t.name for t in spark.catalog.listTables()} == tables
 
 
 def test_entry(spark):
@@ -121,35 +151,76 @@ def test_file_reading_and_repair(spark, tmp_path):
     assert len(lines) == 2 and any("Peña €" in r.value for r in lines)
 
 
-def deliver(folder, name, rows, stamp):
+def deliver(folder, name, rows, stamp, encoding="latin-1"):
     folder.mkdir(parents=True, exist_ok=True)
     path = folder / name
-    path.write_text(registry_lines(rows))
+    data = registry_lines(rows).encode(encoding)
+    path.write_bytes(gzip.compress(data) if name.endswith(".gz") else data)
     os.utime(path, (stamp, stamp))
 
 
-def test_stream_replaces_years_and_repeats_nothing(spark, tmp_path):
-    inbox, full, public = (str(tmp_path / n) for n in ("inbox", "full", "public"))
+@pytest.fixture
+def ingest(spark, tmp_path):
+    """Run the stream over the inbox; the published public rows."""
     dims = [view(spark, SF, n) for n in ("programme_catalogue", "municipalities", "states")]
+    folders = [str(tmp_path / n) for n in ("inbox", "full", "public", "progress")]
 
     def run():
-        query = ingest_arrivals(spark, inbox, full, public, str(tmp_path / "progress"), *dims)
-        query.awaitTermination()
-        table = spark.read.parquet(public)
+        ingest_arrivals(spark, *folders, *dims).awaitTermination()
+        table = published(spark, folders[2], folders[2], PUBLIC_SCHEMA)
+        full = published(spark, folders[1], folders[2], FULL_SCHEMA)
+        assert full.count() == table.count()
         return sorted(
-            tuple(r) for r in table.select("anio", "numespago", "newid", "nbnombre").collect()
+            tuple(r) for r in table.select("anio", "numespago", "newid", "nbprograma").collect()
         )
 
-    first = [{**ROW, "anio": "2011", "newid": str(i), "periodo": f"17{i}"} for i in (1, 2)]
-    deliver(tmp_path / "inbox" / "a", "registry_2011.txt", first, 1_600_000_000)
-    deliver(tmp_path / "inbox" / "a", "registry_2012.txt", [{**ROW, "anio": "2012", "newid": "9"}], 1_600_000_100)
-    expected = [(2011, 1, 1, "Ana"), (2011, 2, 2, "Ana"), (2012, 3, 9, "Ana")]
-    assert run() == expected
-    assert run() == expected
+    return run
+
+
+def test_stream_replaces_years_and_repeats_nothing(ingest, tmp_path):
+    inbox = tmp_path / "inbox"
+    first = [{**ROW, "anio": "2011", "newid": str(i), "periodo": f"17{i}", "nbprograma": "Ana"} for i in (1, 2)]
+    deliver(inbox / "a", "registry_2011.txt", first, 1_600_000_000)
+    deliver(inbox / "a", "registry_2012.txt", [{**ROW, "anio": "2012", "newid": "9"}], 1_600_000_100)
+    expected = [(2011, 1, 1, "Ana"), (2011, 2, 2, "Ana"), (2012, 3, 9, None)]
+    assert ingest() == expected
+    assert ingest() == expected
     # A later delivery of 2011 lacks a month, which then disappears; 2012 stays.
-    deliver(tmp_path / "inbox" / "2020-b", "registry_2011.txt", first[1:], 1_600_000_200)
-    assert run() == expected[1:]
-    assert spark.read.parquet(full).count() == 2
+    deliver(inbox / "2020-b", "registry_2011.txt", first[1:], 1_600_000_200)
+    assert ingest() == expected[1:]
+
+
+def test_stream_takes_all_files_of_a_delivery(ingest, tmp_path):
+    folder = tmp_path / "inbox" / "file_year=2011"
+    row = {**ROW, "anio": "2011", "periodo": "171"}
+    deliver(folder, "part-1.csv", [{**row, "newid": "1"}], 1_600_000_000)
+    deliver(folder, "part-2.txt.gz", [{**row, "newid": "1000000000000000000"}], 1_600_000_001)
+    assert [r[2] for r in ingest()] == [1, 10**18]
+    # A part that comes later completes the delivery.
+    deliver(folder, "part-3.csv", [{**row, "newid": "3"}], 1_600_000_002)
+    assert [r[2] for r in ingest()] == [1, 3, 10**18]
+
+
+def test_stream_repairs_text(ingest, tmp_path):
+    row = {**ROW, "newid": "1", "periodo": "171"}
+    deliver(tmp_path / "inbox", "registry_2011.txt", [{**row, "anio": "2011", "nbprograma": "Peña"}], 1_600_000_000)
+    deliver(
+        tmp_path / "inbox", "registry_2015.txt", [{**row, "anio": "2015", "nbprograma": "Peña €"}], 1_600_000_000, "cp1252"
+    )
+    assert [r[3] for r in ingest()] == ["Pea", "Peña €"]
+
+
+def test_stream_refuses_empty_deliveries(ingest, tmp_path):
+    inbox = tmp_path / "inbox"
+    deliver(inbox / "a", "registry_2011.txt", [{**ROW, "anio": "2011", "newid": "1"}], 1_600_000_000)
+    expected = ingest()
+    assert len(expected) == 1
+    deliver(inbox / "b", "registry_2011.txt", [], 1_600_000_100)
+    with pytest.raises(Exception, match="have no row"):
+        ingest()
+    # What was published stays; once the delivery is complete the stream goes on.
+    deliver(inbox / "b", "registry_2011.txt", [{**ROW, "anio": "2011", "newid": "2"}], 1_600_000_200)
+    assert [r[2] for r in ingest()] == [2]
 
 
 def test_missing_month_and_table_registration(spark, tmp_path):
@@ -176,21 +247,3 @@ def test_documents_are_line_pairs(spark, tmp_path):
     lines = queries()["bulk_docs"](spark, SF)
     write_documents(lines, path)
     assert spark.read.text(path).count() == 2 * lines.count()
-
-
-def test_split_lists_hold_the_same_features(spark):
-    names = (
-        "programme_catalogue", "survey_programmes", "crosswalk", "survey_criteria",
-        "survey_components", "profiles",
-    )
-    inputs = [view(spark, SF, n) for n in names]
-
-    def entries(list_rows):
-        features = catalogues.nested_catalogue(*inputs, list_rows=list_rows)
-        found = features.select("cd_programa", "cuaps_folio", F.explode("apoyos").alias("s"))
-        focus = features.select("cuaps_folio", F.explode("criterios_focalizacion").alias("f"))
-        return features.count(), sorted(map(repr, found.collect())), sorted(map(repr, focus.collect()))
-
-    whole, split = entries(100_000), entries(20)
-    assert split[0] > whole[0]
-    assert split[1:] == whole[1:]

@@ -2,7 +2,6 @@
 
 import json
 
-from rollcall.labels import FOCUS_GROUPS
 from rollcall.schemas import (
     FULL_COLUMNS,
     LISTED_FEATURE_COLUMNS,
@@ -13,7 +12,7 @@ from rollcall.schemas import (
     RAW_COLUMNS,
     REGISTER_FIELDS,
 )
-from workload.queries import FEATURE_INDEX, INDEX, SPLIT_YEAR
+from workload.queries import CP1252_YEAR, FEATURE_INDEX, INDEX, SPLIT_YEAR
 from workload.views import with_views
 
 # --- Expressions ---
@@ -146,7 +145,7 @@ def cleaned_ctes(month, origin_sql, benefit_sql, bands):
         "newid": number("newid", "BIGINT"),
         "anio": number("anio"),
         "cdsexo": GENDER,
-        "nuimpmonetario": number("nuimpmonetario"),
+        "nuimpmonetario": number("nuimpmonetario", "BIGINT"),
         "cveent": state("cveent"),
         "cveloc": locality("cveloc"),
     }
@@ -314,10 +313,22 @@ LISTED_KEYED = (
     f" {filled('DGAIP')} AS DGAIP, {filled('coalesce(DGAIP, k2.DGAE)')} AS id_pub"
     " FROM k2 LEFT JOIN pairs ON k2.DGAE = pairs.DGAE)"
 )
-FOCUS = "CASE " + " ".join(
-    f"WHEN csc_configuracion_foc IN ({', '.join(map(str, found))}) THEN '{name}'"
-    for name, found in FOCUS_GROUPS.items()
-) + " ELSE '' END"
+FOCUS = (
+    "CASE "
+    "WHEN csc_configuracion_foc IN (36, 1754, 1755, 1756, 1757) THEN 'adultos mayores' "
+    "WHEN csc_configuracion_foc IN (37) THEN 'migrantes' "
+    "WHEN csc_configuracion_foc IN (38) THEN 'embarazadas' "
+    "WHEN csc_configuracion_foc IN (39) THEN 'jefas de familia' "
+    "WHEN csc_configuracion_foc IN (40) THEN 'padres o madres solos' "
+    "WHEN csc_configuracion_foc IN (41) THEN 'enfermos cronicos' "
+    "WHEN csc_configuracion_foc IN (43, 170, 171, 172, 173, 174, 175, 176) THEN 'personas con discapacidad' "
+    "WHEN csc_configuracion_foc IN (42, 167, 168, 169) THEN 'poblacion indigena' "
+    "WHEN csc_configuracion_foc IN (44) THEN 'otro grupo vulnerable' "
+    "WHEN csc_configuracion_foc IN (31, 32, 33) THEN 'pobreza' "
+    "WHEN csc_configuracion_foc IN (34, 35) THEN 'vulnerabilidad' "
+    "WHEN csc_configuracion_foc IN (134, 135, 136, 137, 138, 139, 140, 141, 142, 143, 144, 145) THEN 'marginacion' "
+    "ELSE '' END"
+)
 CRITERIA = (
     f", groups AS (SELECT cuaps_folio, {FOCUS} AS focus FROM survey_criteria), criteria AS (SELECT"
     " cuaps_folio, coalesce(list(focus ORDER BY focus) FILTER (focus <> ''), []) AS criterios"
@@ -430,7 +441,16 @@ DOCUMENT_FIELDS = {
     "padrones": f"list_transform(padrones, lambda z: {nulled('z', REGISTER_FIELDS)})",
     "apoyos": f"list_transform(apoyos, lambda z: {nulled('z', RECORD_FIELDS, _PLAIN)})",
 }
-FEATURE_DOCUMENT = document([(c, DOCUMENT_FIELDS.get(c, c)) for c in NESTED_FEATURE_COLUMNS])
+_SHORT = "CASE WHEN length({0}) <= 256 THEN {0} END"
+KEYWORDS = [
+    (f"{c}_keyword", _SHORT.format(c)) if c in ("nb_programa", "nb_origen", "origen", "nom_ent")
+    else (f"{c}_keyword", f"list_transform({DOCUMENT_FIELDS[c]}, lambda y: {_SHORT.format('y')})")
+    for c in (
+        "nb_programa", "derechos_sociales", "nb_origen", "nb_subp1", "origen",
+        "criterios_focalizacion", "nom_ent",
+    )
+]
+FEATURE_DOCUMENT = document([(c, DOCUMENT_FIELDS.get(c, c)) for c in NESTED_FEATURE_COLUMNS] + KEYWORDS)
 
 LISTED_FIELDS = [
     "cd_dependencia", "cd_padron", "iduni", "origen_dep", "nb_dependencia", "nb_depen_corto",
@@ -449,7 +469,10 @@ LISTED_CORE = (
     LISTED_CLEAN
     + ", chosen AS (SELECT cd_programa, anio, min(struct_pack(nb_origen := nb_origen,"
     " nb_programa := nb_programa, origen := origen)) AS n, "
-    + ", ".join(f"list({c} ORDER BY {', '.join(LISTED_FIELDS)}) AS {c}" for c in LISTED_FIELDS)
+    + ", ".join(
+        f"coalesce(list({c} ORDER BY {', '.join(LISTED_FIELDS)}) FILTER ({c} <> ''), []) AS {c}"
+        for c in LISTED_FIELDS
+    )
     + " FROM listed GROUP BY cd_programa, anio), core AS (SELECT * EXCLUDE (n), n.nb_origen AS"
     " nb_origen, n.nb_programa AS nb_programa, n.origen AS origen FROM chosen)"
 )
@@ -468,8 +491,8 @@ def listed_catalogue(last_history_year):
         views + LISTED_KEYED + TYPE_SUMS + LISTED_CORE
         + ", surveyed AS (SELECT k.*, coalesce(tipos_apoyos, []) AS tipos_apoyos FROM keyed k"
         " LEFT JOIN types t ON k.cuaps_folio = t.cuaps_folio),"
-        f" present AS (SELECT * FROM core WHERE CAST(anio AS INTEGER) > {last_history_year}),"
-        f" past AS (SELECT * FROM core WHERE CAST(anio AS INTEGER) <= {last_history_year}),"
+        f" present AS (SELECT * FROM core WHERE coalesce(TRY_CAST(anio AS INTEGER) > {last_history_year}, true)),"
+        f" past AS (SELECT * FROM core WHERE TRY_CAST(anio AS INTEGER) <= {last_history_year}),"
         " rows_ AS (SELECT * FROM present FULL OUTER JOIN surveyed ON cd_programa = id_pub"
         " UNION ALL BY NAME SELECT * FROM past)"
         f" SELECT {', '.join(LISTED_OUTPUT)} FROM rows_"
@@ -484,6 +507,11 @@ NOT_SURVEYED = (
 )
 
 
+def _read_back(sql, columns):
+    """A result written as text: an empty field is a missing value."""
+    return f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in columns)} FROM ({sql})"
+
+
 def _survey_rows(columns):
     return f"{with_views('survey_programmes')} SELECT cuaps_folio, {columns} FROM survey_programmes"
 
@@ -503,7 +531,10 @@ def statements() -> dict[str, str]:
             f"coalesce(regexp_replace(chr_nombre_programa_cuaps, '^{BLANK}+|{BLANK}+$', '', 'g'), '') AS name"
         ),
         "strip_quotes": raw(f"{bare('newid')} AS id", f"{bare('anio')} AS anio"),
-        "clean_int": raw(*[f"{number(n)} AS {n}" for n in ("anio", "nuimpmonetario", "numespago")]),
+        "clean_int": raw(
+            *[f"{number(n)} AS {n}" for n in ("anio", "numespago")],
+            *[f"{number(n, 'BIGINT')} AS {n}_long" for n in ("newid", "nuimpmonetario")],
+        ),
         "age_at_month": aged("age"),
         "age_band": aged(f"{band('age')} AS band", f"{band('age', **OLDER_BAND)} AS older_band"),
         "mask_minor_names": aged(
@@ -534,7 +565,9 @@ def statements() -> dict[str, str]:
         ),
         "scrub_text": documents("replace(replace(text, chr(160), ' '), '\"', '')", "scrubbed"),
         "strip_non_ascii": documents(ASCII, "ascii_text"),
-        "cp1252_fix": documents("text", "repaired"),
+        "cp1252_fix": documents(
+            "translate(text, 'abcdefghijklmnopqrstuvwxyzA', '€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ')", "repaired"
+        ),
         "keyword_field": documents("CASE WHEN length(text) <= 256 THEN text END", "text_keyword"),
         "clean_registry": f"{with_views('raw_registry')}{CLEAN} SELECT * FROM clean",
         "clean_registry_older": (
@@ -552,7 +585,7 @@ def statements() -> dict[str, str]:
             " r.cvemuni, g.cveent, g.noment, r.nommun FROM clean r LEFT JOIN geo g"
             " ON r.cvemuni = g.cvemuni"
         ),
-        "amount_rules": raw(f"CASE WHEN {ZERO} THEN 0 ELSE {number('nuimpmonetario')} END AS nuimpmonetario"),
+        "amount_rules": raw(f"CASE WHEN {ZERO} THEN 0 ELSE {number('nuimpmonetario', 'BIGINT')} END AS nuimpmonetario"),
         "exclude_rule": raw("cdprograma", "cdbeneficio") + f" WHERE {KEPT}",
         "publication": PUBLICATION,
         "cleaned": f"{ENRICHED} SELECT {', '.join(FULL_COLUMNS)}, anio FROM enriched",
@@ -564,10 +597,18 @@ def statements() -> dict[str, str]:
             + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS)
             + ", file_year FROM raw_registry"
         ),
+        "read_raw_gz": (
+            # An empty field of a text file is a missing value.
+            f"{with_views('raw_registry')} SELECT "
+            + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS)
+            + ", file_year FROM raw_registry"
+        ),
         "read_catalog": (
-            f"{with_views('programme_catalogue')} SELECT iduni, 1 AS idadmin, cd_programa AS cdprograma,"
+            f"{with_views('programme_catalogue')} SELECT read_by, iduni, cd_programa AS cdprograma,"
             " cd_padron AS cdpadron, anio, nb_programa AS nombreprograma, nb_dependencia AS"
-            " nbdependencia, nb_subp1, nb_depen_corto, sector FROM programme_catalogue"
+            " nbdependencia, CASE WHEN read_by = 'header' THEN nullif(nb_subp1, '') END AS nombresubp1, nb_depen_corto AS nbdepencorto,"
+            " nullif(sector, '') AS sector FROM programme_catalogue,"
+            " (VALUES ('position'), ('header')) r(read_by)"
         ),
         "decode_text": (
             f"SELECT value, count(*) AS lines FROM (SELECT unnest(regexp_split_to_array({ASCII},"
@@ -575,10 +616,19 @@ def statements() -> dict[str, str]:
         ),
         "roundtrip_partitioned": PUBLICATION,
         "table_register": (
-            f"{ENRICHED} SELECT anio, numespago, count(*) AS rows,"
-            " CAST(sum(nuimpmonetario) AS BIGINT) AS amount FROM enriched GROUP BY anio, numespago"
+            f"{ENRICHED} SELECT kind, anio, numespago, count(*) AS rows,"
+            " CAST(sum(nuimpmonetario) AS BIGINT) AS amount FROM enriched,"
+            " (VALUES ('public'), ('cleaned')) t(kind) GROUP BY kind, anio, numespago"
+        ),
+        "append_rows": PUBLICATION,
+        "stream_ingest": (
+            f"SELECT * REPLACE (nbprograma || CASE WHEN anio = {CP1252_YEAR} THEN ' ñ€' ELSE ' ' END"
+            f" AS nbprograma) FROM ({PUBLICATION})"
+        ),
+        "sample_rows": (
+            f"{with_views('raw_registry')} SELECT {', '.join(RAW_COLUMNS)} FROM raw_registry"
+            " WHERE substr(md5(newid), 1, 8) < '19999999'"
         ),
-        "stream_ingest": PUBLICATION,
         "crosswalk": f"{with_views('crosswalk')}{PAIRS} SELECT * FROM pairs",
         "program_keys": (
             f"{with_views('survey_programmes', 'crosswalk')}{KEYED} SELECT * REPLACE"
@@ -599,6 +649,18 @@ def statements() -> dict[str, str]:
             f"{with_views('survey_criteria')} SELECT cuaps_folio, coalesce(csc_configuracion_foc, 0)"
             f" AS code, {FOCUS} AS focus FROM survey_criteria"
         ),
+        "criterion_rows": (
+            f"{with_views('survey_criteria')}{CRITERIA} SELECT cuaps_folio, focus AS"
+            " criterios_focalizacion FROM groups"
+        ),
+        "support_rows": (
+            f"{with_views('survey_components')}{COMPONENTS} SELECT * REPLACE ({text_of('tipos')} AS"
+            " tipos) FROM components"
+        ),
+        "register_rows": (
+            f"{with_views('programme_catalogue')}, cleaned AS ({clean_catalogue('programme_catalogue')})"
+            f" SELECT {', '.join(REGISTER_FIELDS)} FROM cleaned"
+        ),
         "nested_supports": (
             f"{with_views('survey_components')}{COMPONENTS} SELECT cuaps_folio,"
             f" {text_of('apoyos')} AS apoyos FROM nested"
@@ -610,7 +672,7 @@ def statements() -> dict[str, str]:
             f" SELECT cd_programa, anio, {text_of('padrones')} AS padrones FROM grouped"
         ),
         "flatten_list": (
-            f"{with_views('programme_catalogue')}, filled AS (SELECT cd_programa, anio,"
+            f"{with_views('programme_catalogue')}, filled AS (SELECT cd_programa, coalesce(anio, 'null') AS anio,"
             " coalesce(nb_subp1, 'null') AS s FROM programme_catalogue)"
             f" SELECT cd_programa, anio, {text_of('list(s ORDER BY s)')} AS nb_subp1"
             " FROM filled WHERE s <> '' GROUP BY cd_programa, anio"
@@ -663,6 +725,8 @@ def statements() -> dict[str, str]:
             " nullif(obj_gral_prog, '') AS obj_gral_prog)"
             f" FROM (SELECT {nested_columns} FROM features)"
         ),
+        "listed_csv": _read_back(listed_catalogue(2016), LISTED_FEATURE_COLUMNS),
+        "missing_csv": _read_back(NOT_SURVEYED, MISSING_REPORT_COLUMNS),
         "catalog_arrays": listed_catalogue(2016),
         "catalog_arrays_split": listed_catalogue(SPLIT_YEAR),
         "missing_in_survey": NOT_SURVEYED,

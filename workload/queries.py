@@ -1,7 +1,5 @@
 """The registered queries: ``name -> (spark, sf_dir) -> DataFrame``."""
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +18,13 @@ from rollcall.plans import catalogues, monthly, registry, survey
 from rollcall.plans.registry import Edition
 from rollcall.schemas import (
     FULL_COLUMNS,
+    FULL_SCHEMA,
     PUBLIC_COLUMNS,
     PUBLIC_SCHEMA,
     RAW_COLUMNS,
 )
-from rollcall.scratch import scratch_folder
-from rollcall.session import tuned
-from rollcall.sinks.tables import register_table, write_partitioned, write_years
+from rollcall.scratch import materialised, scratch_folder
+from rollcall.sinks.tables import published, register_table, write_partitioned, write_years
 from rollcall.sinks.text import as_text, write_pipe_csv
 from rollcall.sources import dimensions as dims
 from rollcall.sources import files
@@ -38,6 +36,8 @@ INDEX = "registry-monthly"
 FEATURE_INDEX = "programme-features"
 #: A split year inside the given tables' years; the default one lies after them.
 SPLIT_YEAR = 1998
+#: The year whose deliveries the stream query writes in Windows-1252.
+CP1252_YEAR = 1995
 OLDER = Edition(
     age_labels=AGE_LABELS_PLURAL,
     own_month=True,
@@ -46,18 +46,17 @@ OLDER = Edition(
     no_benefit=None,
 )
 
+#: Letters of the given texts, and the bytes they are made to stand for.
+MISREAD_LETTERS = "abcdefghijklmnopqrstuvwxyzA"
+MISREAD_BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+
 c = F.col
 QUERIES = {}
 
 
 def query(run):
-    """Register a query under its name, run with the recommended settings."""
-
-    @wraps(run)
-    def tuned_run(spark, sf_dir):
-        return run(tuned(spark), sf_dir)
-
-    QUERIES[run.__name__.removesuffix("_query")] = tuned_run
+    """Register a query under its name."""
+    QUERIES[run.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -84,7 +83,9 @@ def strip_quotes(spark, sf_dir):
 @query
 def clean_int(spark, sf_dir):
     return _raw(spark, sf_dir).select(
-        "newid", *[text.clean_int(c(n)).alias(n) for n in ("anio", "nuimpmonetario", "numespago")]
+        "newid",
+        *[text.clean_int(c(n)).alias(n) for n in ("anio", "numespago")],
+        *[text.clean_long(c(n)).alias(f"{n}_long") for n in ("newid", "nuimpmonetario")],
     )
 
 
@@ -231,10 +232,12 @@ def strip_non_ascii(spark, sf_dir):
 
 @query
 def cp1252_fix(spark, sf_dir):
-    def there_and_back(t):
-        return encoding.cp1252_fix(encoding.cp1252_misread(t))
+    """Texts in which 27 letters stand for the bytes 0x80 to 0x9F, repaired."""
 
-    return _documents(spark, sf_dir, there_and_back, "repaired")
+    def misread(t):
+        return F.translate(t, MISREAD_LETTERS, "".join(map(chr, MISREAD_BYTES)))
+
+    return _documents(spark, sf_dir, lambda t: encoding.cp1252_fix(misread(t)), "repaired")
 
 
 @query
@@ -297,7 +300,7 @@ def enrich_geo(spark, sf_dir):
 
 @query
 def amount_rules_query(spark, sf_dir):
-    rows = _raw(spark, sf_dir).withColumn("nuimpmonetario", text.clean_int(c("nuimpmonetario")))
+    rows = _raw(spark, sf_dir).withColumn("nuimpmonetario", text.clean_long(c("nuimpmonetario")))
     return amount_rules(rows).select("newid", "nuimpmonetario")
 
 
@@ -332,8 +335,17 @@ def bulk_docs(spark, sf_dir):
 @query
 def read_raw(spark, sf_dir):
     folder = scratch_folder(spark, "deliveries")
-    paths = write_deliveries(_raw(spark, sf_dir), folder)
-    return files.read_registry(spark, paths)
+    return files.read_registry(spark, write_deliveries(_raw(spark, sf_dir), folder)).select(
+        *RAW_COLUMNS, "file_year"
+    )
+
+
+@query
+def read_raw_gz(spark, sf_dir):
+    """The same through compressed files."""
+    folder = scratch_folder(spark, "deliveries")
+    path = write_deliveries(_raw(spark, sf_dir), folder, compression="gzip")
+    return files.read_registry(spark, path).select(*RAW_COLUMNS, "file_year")
 
 
 @query
@@ -348,15 +360,20 @@ def read_catalog(spark, sf_dir):
     )
     write_pipe_csv(ordered, path)
     by_position = files.read_registry_catalogue(spark, path).select(
-        "iduni", "idadmin", "cdprograma", "cdpadron", "anio", "nombreprograma", "nbdependencia"
+        F.lit("position").alias("read_by"), "iduni", "cdprograma", "cdpadron", "anio",
+        "nombreprograma", "nbdependencia", F.lit(None).cast("string").alias("nombresubp1"),
+        "nbdepencorto", "sector",
+    )
+    by_header = files.read_indexed(spark, path).select(
+        F.lit("header"), "iduni", "cd_programa", "cd_padron", "anio", "nb_programa",
+        "nb_dependencia", "nb_subp1", "nb_depen_corto", "sector",
     )
-    by_header = files.read_indexed(spark, path).select("iduni", "nb_subp1", "nb_depen_corto", "sector")
-    return by_position.join(by_header, "iduni")
+    return by_position.union(by_header)
 
 
 @query
 def sample_rows(spark, sf_dir):
-    return files.sample_rows(_raw(spark, sf_dir).select(*RAW_COLUMNS), 0.1)
+    return files.sample_rows(_raw(spark, sf_dir).select(*RAW_COLUMNS), "newid", 0.1)
 
 
 @query
@@ -375,32 +392,66 @@ def roundtrip_partitioned(spark, sf_dir):
     return spark.read.parquet(root)
 
 
+@query
+def append_rows(spark, sf_dir):
+    """The public rows written in two runs, the second appended to the first."""
+    root = scratch_folder(spark, "public")
+    rows = _public(spark, sf_dir)
+    first = c("newid") % 2 == 0
+    write_partitioned(rows.where(first), root, ["anio", "numespago"])
+    write_partitioned(rows.where(~first), root, ["anio", "numespago"], mode="append")
+    return spark.read.parquet(root)
+
+
 @query
 def table_register(spark, sf_dir):
+    """Rows and amounts by month in both external tables, which are dropped again."""
     full_root, public_root = scratch_folder(spark, "full"), scratch_folder(spark, "public")
     full = registry.with_partition_year(_enriched(spark, sf_dir), FULL_COLUMNS)
     write_years(full, full_root, public_root)
-    schema = PUBLIC_SCHEMA.fields + [f for f in full.schema if f.name == "anio"]
-    name = "public_" + public_root.rsplit("-", 1)[1]
-    return (
-        register_table(spark, name, schema, public_root)
-        .groupBy("anio", "numespago")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("nuimpmonetario").alias("amount"))
-    )
+    year = [f for f in full.schema if f.name == "anio"]
+    sums = []
+    for kind, fields, root in (("public", PUBLIC_SCHEMA, public_root), ("cleaned", FULL_SCHEMA, full_root)):
+        name = f"{kind}_{root.rsplit('-', 1)[1]}"
+        by_month = (
+            register_table(spark, name, fields.fields + year, root)
+            .groupBy(F.lit(kind).alias("kind"), "anio", "numespago")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("nuimpmonetario").alias("amount"))
+        )
+        sums.append(materialised(by_month, "months"))
+        spark.sql(f"DROP TABLE {name}")
+    return sums[0].unionByName(sums[1])
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    """Every delivery file, ingested as a stream; then a second run, which finds nothing new."""
+    """Deliveries in several files each, ingested as a stream.
+
+    A first delivery of every year holds half of its rows; the second, with all of them, replaces
+    it; a third run finds nothing new.  Names hold letters outside ASCII in Latin-1, those of one
+    year in Windows-1252.
+    """
     folder = scratch_folder(spark, "arrivals")
-    write_deliveries(_raw(spark, sf_dir), folder, one_file=True)
     full_root, public_root = scratch_folder(spark, "full"), scratch_folder(spark, "public")
     checkpoint = scratch_folder(spark, "progress")
-    for _ in range(2):
+    rows = _raw(spark, sf_dir)
+    older = c("file_year") == CP1252_YEAR
+    named = lambda mark: F.concat(c("nbprograma"), F.lit(mark))
+    odd = F.regexp_extract("newid", "[0-9]+", 0).cast("bigint") % 2 == 1
+    for name, chosen in (("first", odd), ("second", F.lit(True)), (None, None)):
+        if name:
+            latin = rows.where(chosen & ~older).withColumn("nbprograma", named(" ñ"))
+            write_deliveries(latin, f"{folder}/{name}", files.ORIGINAL)
+            # The bytes of Windows-1252, written as the Latin-1 letters they look like.
+            windows = rows.where(chosen & older).withColumn(
+                "nbprograma", encoding.cp1252_misread(named(" ñ€"))
+            )
+            write_deliveries(windows, f"{folder}/{name}", files.ORIGINAL)
         ingest_arrivals(
-            spark, folder, full_root, public_root, checkpoint, *_dimensions(spark, sf_dir)
+            spark, folder, full_root, public_root, checkpoint, *_dimensions(spark, sf_dir),
+            cp1252_years=(CP1252_YEAR,),
         ).awaitTermination()
-    return spark.read.parquet(public_root)
+    return published(spark, public_root, public_root, PUBLIC_SCHEMA)
 
 
 # --- Survey operators ---
@@ -449,6 +500,24 @@ def focus_groups(spark, sf_dir):
     return rows.select("cuaps_folio", code.alias("code"), lists.focus_group(code).alias("focus"))
 
 
+@query
+def criterion_rows(spark, sf_dir):
+    """One row per criterion, for folios whose list is too long for a row."""
+    return survey.focus_criteria(view(spark, sf_dir, "survey_criteria"))
+
+
+@query
+def support_rows(spark, sf_dir):
+    """One row per support."""
+    return as_text(survey.supports(view(spark, sf_dir, "survey_components")))
+
+
+@query
+def register_rows(spark, sf_dir):
+    """One row per register."""
+    return catalogues.register_rows(view(spark, sf_dir, "programme_catalogue"))
+
+
 @query
 def nested_supports(spark, sf_dir):
     return as_text(survey.nested_supports(view(spark, sf_dir, "survey_components")))
@@ -555,7 +624,7 @@ def has_profile(spark, sf_dir):
     catalogue, profiles = _survey(spark, sf_dir, "programme_catalogue", "profiles")
     known = profiles.withColumnRenamed("cve_programa", "cd_programa")
     rows = catalogue.select("iduni", "cd_programa")
-    return membership(rows, known, ["cd_programa"], ["iduni"], "tiene_perfil")
+    return membership(rows, known, ["cd_programa"], "tiene_perfil")
 
 
 @query
@@ -575,6 +644,21 @@ def catalog_csv(spark, sf_dir):
     return files.read_named(spark, path)
 
 
+@query
+def listed_csv(spark, sf_dir):
+    path = scratch_folder(spark, "listed")
+    write_pipe_csv(_listed(spark, sf_dir), path)
+    return files.read_named(spark, path)
+
+
+@query
+def missing_csv(spark, sf_dir):
+    path = scratch_folder(spark, "missing")
+    report = catalogues.missing_in_survey(_nested(spark, sf_dir), _keyed(spark, sf_dir))
+    write_pipe_csv(report, path)
+    return files.read_named(spark, path)
+
+
 @query
 def catalog_arrays(spark, sf_dir):
     return _listed(spark, sf_dir)

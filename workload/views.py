@@ -45,50 +45,53 @@ _RAW_EXPRESSIONS = {
     "newid": "'\"' || CAST(l.l_orderkey * 10 + l.l_linenumber AS STRING) || '\"'",
 }
 
-# The given tables hold one row group each, which one task scans.  Joining by merge, as larger
-# tables would be, spreads the cleaning that follows over all cores.
+# Every thirteenth order is delivered a year late.
 RAW_REGISTRY = (
-    "SELECT /*+ MERGE(l, o) */ "
+    "SELECT "
     + ", ".join(
         f"{_RAW_EXPRESSIONS.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in RAW_COLUMNS
     )
-    + ", CAST(year(l.l_shipdate) AS INT) AS file_year"
-    " FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"
+    + ", CAST(year(l.l_shipdate) + CASE WHEN l.l_orderkey % 13 = 0 THEN 1 ELSE 0 END AS INT) AS file_year"
+    " FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey"
 )
 
 MUNICIPALITIES = """
 SELECT DISTINCT lpad(CAST(1 + c_custkey % 27 AS STRING), 2, '0') AS CVE_ENT,
   lpad(CAST(1 + c_custkey % 27 AS STRING), 2, '0') || lpad(CAST(c_custkey % 16 AS STRING), 3, '0') AS CVEGEO,
   'M ' || CAST(c_custkey % 16 AS STRING) || ' of ' || CAST(1 + c_custkey % 27 AS STRING) AS NOMGEO
-FROM customer"""
+FROM {customer}"""
 
 STATES = """
-SELECT lpad(CAST(n_nationkey + 1 AS STRING), 2, '0') AS CVE_ENT, n_name AS NOM_ENT FROM nation"""
+SELECT lpad(CAST(n_nationkey + 1 AS STRING), 2, '0') AS CVE_ENT, n_name AS NOM_ENT FROM {nation}"""
 
 # One row per supplier, origin, programme, register and year; every seventh supplier's agency
-# is one that no registry row names.
+# is one that no registry row names.  Every fifth supplier's ids of 1998 recur in 1999, every
+# sixth's 1997 rows of one register come twice, every eleventh's 2000 rows have no year.
 _CATALOGUE_SELECT = """
-SELECT origen || '-' || dep || '-' || prog || '-' || padron || '-' || CAST(yr AS STRING) AS iduni,
-  dep AS cd_dependencia, prog AS cd_programa, padron AS cd_padron, CAST(yr AS STRING) || '.0' AS anio,
+SELECT origen || '-' || dep || '-' || prog || '-' || padron || '-' || CAST(CASE WHEN yr = 1999 AND s_suppkey % 5 = 0 THEN 1998 ELSE yr END AS STRING) AS iduni,
+  dep AS cd_dependencia, prog AS cd_programa, padron AS cd_padron,
+  CASE WHEN yr = 2000 AND s_suppkey % 11 = 5 THEN NULL ELSE CAST(yr AS STRING) || '.0' END AS anio,
   CASE WHEN origen = 'F' THEN 'FEDERAL' ELSE 'ESTATAL' END AS nb_origen, origen,
-  'Programa ' || prog AS nb_programa, 'Sub "' || padron || '"' AS nb_subp1,
+  'Programa ' || prog AS nb_programa, CASE WHEN again = 1 THEN '' ELSE 'Sub "' || padron || '"' END AS nb_subp1,
   origen || dep AS origen_dep, s_name AS nb_dependencia, 'D' || dep AS nb_depen_corto,
-  CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE 'sector ' || CAST(s_suppkey % 4 AS STRING) END AS sector
+  CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 AND yr % 2 = 0 THEN '' ELSE 'sector ' || CAST(s_suppkey % 4 AS STRING) END AS sector
 FROM ("""
 _AGENCY = "CASE WHEN s_suppkey % 7 = 3 THEN '-' ELSE '' END || CAST(s_suppkey AS STRING) AS dep"
+_ONCE = " WHERE again = 0 OR s_suppkey % 6 = 0 AND yr = 1997 AND padron = '0377'"
 CATALOGUE_SPARK = (
     _CATALOGUE_SELECT
-    + f"SELECT s_suppkey, s_name, {_AGENCY}, origen, prog, padron, yr FROM supplier"
+    + f"SELECT s_suppkey, s_name, {_AGENCY}, origen, prog, padron, yr, again FROM {{supplier}}"
     " LATERAL VIEW explode(array('F', 'E')) o AS origen"
     " LATERAL VIEW explode(array('S072', 'S174', 'S241', 'S052')) g AS prog"
     " LATERAL VIEW explode(array('0377', '0567', 'S072')) d AS padron"
-    " LATERAL VIEW explode(sequence(1995, 2001)) y AS yr)"
+    " LATERAL VIEW explode(sequence(1995, 2001)) y AS yr"
+    " LATERAL VIEW explode(array(0, 1)) a AS again" + _ONCE + ")"
 )
 CATALOGUE_DUCKDB = (
     _CATALOGUE_SELECT
-    + f"SELECT s_suppkey, s_name, {_AGENCY}, origen, prog, padron, yr FROM supplier,"
+    + f"SELECT s_suppkey, s_name, {_AGENCY}, origen, prog, padron, yr, again FROM {{supplier}},"
     " (VALUES ('F'), ('E')) o(origen), (VALUES ('S072'), ('S174'), ('S241'), ('S052')) g(prog),"
-    " (VALUES ('0377'), ('0567'), ('S072')) d(padron), range(1995, 2002) y(yr)) x"
+    " (VALUES ('0377'), ('0567'), ('S072')) d(padron), range(1995, 2002) y(yr), (VALUES (0), (1)) a(again)" + _ONCE + ") x"
 )
 
 SURVEY_PROGRAMMES = """
@@ -97,26 +100,27 @@ SELECT CAST(p_partkey AS STRING) || '-F' AS cuaps_folio, 1 + p_size % 3 AS orden
   '  ' || p_name || ' ' AS chr_nombre_programa_cuaps, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE 'obj "' || p_type || '"' END AS obj_gral_prog,
   CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_size % 33 END AS cve_entidad_federativa, ' ' || p_brand || ' ' AS nom_entidad_federativa,
   p_partkey % 2 AS der_social_alim, p_size % 2 AS der_social_edu, p_partkey % 3 AS der_social_sal, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 0 END AS der_social_viv
-FROM part"""
+FROM {part}"""
 
 CROSSWALK = """
 SELECT CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 13 < 5 THEN 'S174' ELSE 'S241' END AS DGAIP,
-  CASE WHEN p_partkey % 2 = 0 THEN 'JAL' ELSE 'AGS' END || CAST(p_partkey AS STRING) AS DGAE FROM part
-UNION ALL SELECT 'S052' AS DGAIP, CAST(NULL AS STRING) AS DGAE FROM region"""
+  CASE WHEN p_partkey % 2 = 0 THEN 'JAL' ELSE 'AGS' END || CAST(p_partkey AS STRING) AS DGAE FROM {part}
+UNION ALL SELECT 'S052' AS DGAIP, CAST(NULL AS STRING) AS DGAE FROM {region}"""
 
 SURVEY_CRITERIA = """
 SELECT DISTINCT CAST(l_partkey AS STRING) || CASE WHEN l_partkey % 5 = 0 THEN '-G' ELSE '-F' END AS cuaps_folio,
   CASE WHEN l_suppkey % 8 = 0 THEN NULL ELSE 30 + l_suppkey % 16 END AS csc_configuracion_foc
-FROM lineitem"""
+FROM {lineitem}"""
 
 SURVEY_COMPONENTS = """
 SELECT CAST(l_partkey AS STRING) || CASE WHEN l_partkey % 4 = 1 THEN '-G' ELSE '-F' END AS cuaps_folio,
   l_suppkey AS id_componente, l_linenumber AS id_apoyo, max(CASE WHEN l_quantity > 40 THEN 'apoyo "x"' END) AS nombre_apoyo,
   max(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) AS tipo_apoyo_mon, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS tipo_apoyo_esp, max(CASE WHEN l_discount > 0.09 THEN 1 END) AS tipo_apoyo_otro
-FROM lineitem GROUP BY l_partkey, l_suppkey, l_linenumber"""
+FROM {lineitem} GROUP BY l_partkey, l_suppkey, l_linenumber"""
 
 PROFILES = """
-SELECT 'S072' AS cve_programa FROM region UNION ALL SELECT 'S999' FROM region"""
+SELECT CASE p_size % 7 WHEN 0 THEN 'S072' WHEN 1 THEN 'S241' WHEN 2 THEN NULL ELSE p_brand END AS cve_programa
+FROM {part}"""
 
 SPARK_VIEWS = {
     "raw_registry": RAW_REGISTRY,
@@ -129,7 +133,22 @@ SPARK_VIEWS = {
     "survey_components": SURVEY_COMPONENTS,
     "profiles": PROFILES,
 }
-DUCKDB_VIEWS = {**SPARK_VIEWS, "programme_catalogue": CATALOGUE_DUCKDB}
+#: The given tables each view reads.
+SOURCES = {
+    "raw_registry": ["lineitem", "orders"],
+    "municipalities": ["customer"],
+    "states": ["nation"],
+    "programme_catalogue": ["supplier"],
+    "survey_programmes": ["part"],
+    "crosswalk": ["part", "region"],
+    "survey_criteria": ["lineitem"],
+    "survey_components": ["lineitem"],
+    "profiles": ["part"],
+}
+DUCKDB_VIEWS = {
+    name: sql.format(**{t: t for t in SOURCES[name]})
+    for name, sql in {**SPARK_VIEWS, "programme_catalogue": CATALOGUE_DUCKDB}.items()
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -137,12 +156,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input, over the tables in ``sf_dir``."""
-    sql = SPARK_VIEWS[name]
-    for base in TABLES:
-        if f" {base}" in sql:
-            table(spark, sf_dir, base).createOrReplaceTempView(base)
-    return spark.sql(sql)
+    """One input, over the tables in ``sf_dir``; the session gets no views."""
+    return spark.sql(SPARK_VIEWS[name], **{t: table(spark, sf_dir, t) for t in SOURCES[name]})
 
 
 def with_views(*names: str) -> str:
