@@ -20,6 +20,10 @@ def first_only(cleaned, names, on, **_):
     return cleaned.join(names.dropDuplicates(on), on, "left")
 
 
+def narrow(c):
+    return registry.text.strip_quotes(c).try_cast("int").cast("bigint")
+
+
 @pytest.mark.parametrize(
     "name, module, function, instead",
     [
@@ -29,7 +33,7 @@ def first_only(cleaned, names, on, **_):
         ("has_profile", queries, "membership", lambda df, keys, on, flag: df.withColumn(flag, F.lit(0))),
         ("focus_groups", lists, "FOCUS_GROUPS", {"migrantes": [38]}),
         ("catalog_arrays", catalogues, "without_blanks", lambda c: c),
-        ("clean_registry", registry.text, "clean_long", registry.text.clean_int),
+        ("clean_registry", registry.text, "clean_long", narrow),
     ],
 )
 def test_row_turns_red(spark, monkeypatch, name, module, function, instead):
