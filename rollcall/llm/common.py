@@ -7,9 +7,11 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.scratch import scratch_folder
+from rollcall.scratch import materialised
 
 _SHIPPED = set()
+#: A frame written as a table in the shared folder and read again.
+stored = materialised
 
 #: White space of the contracts, as a character class for Java, Python and DuckDB patterns.
 WHITE = r"\x20\x09-\x0D"
@@ -36,13 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage ends here."""
-    folder = scratch_folder(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have, whatever its case."""
     taken, name = {c.lower() for c in df.columns}, base
