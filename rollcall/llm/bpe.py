@@ -2,6 +2,7 @@
 
 import base64
 import re
+from array import array
 from functools import cache
 from heapq import heapify, heappop, heappush
 
@@ -13,13 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import batches, text_of
+from rollcall.llm.tokens import LONG, Remembered
 
-#: Bytes that are merged directly; longer pieces are halved.
-LEAF = 24
+#: Bytes that are merged directly; longer pieces are halved.  The encodings of so few bytes, and
+#: of windows of twice as many, recur and are remembered.
+LEAF = 6
 #: Bytes up to which the lowest rank is looked for by a plain scan.
 DIRECT = 64
-#: Texts' segments, and pairs of tokens, that a worker remembers.
-REMEMBERED = 200_000
+#: Segments of texts that a worker remembers: so many recent ones, and as many before them.
+REMEMBERED = 300_000
+#: Matches of the pattern, and short byte strings and pairs of tokens, that a worker remembers.
+PIECES, LEAVES = 100_000, 100_000
 #: Ids that are decoded directly; longer lists are halved.
 LEAF_IDS = 1 << 14
 CHUNK = 2 << 20
@@ -52,7 +57,8 @@ class TreeEncoder:
         self.single = [ranks.get(bytes([o]), -1) for o in range(256)]
         if -1 in self.single:
             raise ValueError("the ranks lack a byte")
-        self.recent, self.before, self.pairs = {}, {}, {}
+        self.recent, self.before = Remembered(self._segment), {}
+        self.pieces, self.pairs, self.leaves = {}, {}, {}
 
     def merged(self, octets: bytes) -> list[int]:
         """The encoding of a few bytes: the neighbours of lowest rank are merged, leftmost first."""
@@ -95,14 +101,24 @@ class TreeEncoder:
                     heappush(heap, (found, left))
         return [p for p in parts if p >= 0]
 
+    def few(self, octets: bytes) -> list[int]:
+        """The encoding of a few bytes, remembered."""
+        known = self.leaves.get(octets)
+        if known is None:
+            if len(self.leaves) >= LEAVES:
+                self.leaves.clear()
+            known = self.leaves[octets] = self.merged(octets)
+        return known
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether two tokens side by side are the encoding of their bytes."""
-        known = self.pairs.get((left, right))
+        key = left * self.width + right
+        known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= LEAVES:
                 self.pairs.clear()
             known = self.merged(self.octets[left] + self.octets[right]) == [left, right]
-            self.pairs[left, right] = known
+            self.pairs[key] = known
         return known
 
     def joined(self, left: list[int], right: list[int]) -> list[int]:
@@ -116,7 +132,8 @@ class TreeEncoder:
             return left + right
         a = b = 1
         while True:
-            inner = self.merged(b"".join(self.octets[t] for t in left[-a:] + right[:b]))
+            window = b"".join([self.octets[t] for t in left[-a:] + right[:b]])
+            inner = self.few(window) if len(window) <= 2 * LEAF else self.merged(window)
             open_left = a < len(left) and not self.compatible(left[-a - 1], inner[0])
             open_right = b < len(right) and not self.compatible(inner[-1], right[b])
             if not open_left and not open_right:
@@ -127,17 +144,27 @@ class TreeEncoder:
     def piece(self, octets: bytes) -> list[int]:
         """The encoding of a piece by halves."""
         if len(octets) <= LEAF:
-            return self.merged(octets)
+            return self.few(octets)
         half = len(octets) // 2
         return self.joined(self.piece(octets[:half]), self.piece(octets[half:]))
 
-    def _direct(self, text: str) -> list[int]:
-        found = []
-        for match in self.pattern.findall(text):
-            octets = match.encode("utf-8", "surrogatepass")
-            whole = self.ranks.get(octets)
-            found += self.piece(octets) if whole is None else [whole]
-        return found
+    def _match(self, match: str) -> bytes:
+        """The ids of one match of the pattern."""
+        if len(self.pieces) >= PIECES:
+            self.pieces.clear()
+        octets = match.encode("utf-8", "surrogatepass")
+        whole = self.ranks.get(octets)
+        ids = array("i", self.piece(octets) if whole is None else [whole]).tobytes()
+        if len(match) <= LONG:
+            self.pieces[match] = ids
+        return ids
+
+    def _segment(self, segment: str) -> bytes:
+        known = self.before.get(segment)
+        if known is not None:
+            return known
+        held = self.pieces
+        return b"".join([held.get(m) or self._match(m) for m in self.pattern.findall(segment)])
 
     def _segments(self, text: str) -> list[str]:
         """Cuts at which a match of the pattern always ends, whatever stands beside them.
@@ -151,21 +178,10 @@ class TreeEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as 32-bit integers; a segment is encoded once while remembered."""
-        split = [self._segments(t) for t in texts]
         if len(self.recent) > REMEMBERED:
-            self.recent, self.before = {}, self.recent
-        recent, before, long = self.recent, self.before, []
-        for segment in set().union(*split).difference(recent):
-            known = before.get(segment)
-            if known is None:
-                known = np.array(self._direct(segment), dtype="<i4").tobytes()
-            recent[segment] = known
-            if len(segment) > 64:
-                long.append(segment)
-        found = [b"".join(map(recent.__getitem__, segments)) for segments in split]
-        for segment in long:
-            del recent[segment]
-        return found
+            self.recent, self.before = Remembered(self._segment), self.recent
+        ids = self.recent.__getitem__
+        return [b"".join(map(ids, self._segments(t))) for t in texts]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of a list of ids, put together up the tree."""
@@ -208,7 +224,12 @@ def decoded(ids: str, ranks_path: str, pattern: str = public_tokenizers.PATTERN)
     @F.arrow_udf("binary")
     def decode(column: pa.Array) -> pa.Array:
         encoder = tree_encoder(ranks_path, pattern)
-        return pa.array([encoder.decode(row.as_py() or []) for row in column], pa.binary())
+        column = column.fill_null(pa.scalar([], column.type))
+        values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+        found = [
+            encoder.decode(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)
+        ]
+        return pa.array(found, pa.binary())
 
     return decode(F.col(ids))
 

@@ -18,11 +18,11 @@ LONG = 64
 _SETTLED = "ƀ"
 
 
-class _Words(dict):
+class Remembered(dict):
     """Ids by word; a word that is not held is encoded."""
 
     def __init__(self, encode):
-        super().__init__({"": b""})
+        super().__init__()
         self.encode = encode
 
     def __missing__(self, word):
@@ -56,7 +56,7 @@ class WordEncoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.recent, self.before = _Words(self._word), {}
+        self.recent, self.before = Remembered(self._word), {}
 
     @staticmethod
     def _pattern(parts: dict):
@@ -91,6 +91,8 @@ class WordEncoder:
         known = self.before.get(word)
         if known is not None:
             return known
+        if not word:
+            return b""
         if self.pattern is None or max(word) >= _SETTLED or not word.isprintable():
             return self._general(word)
         held = self.pieces
@@ -100,7 +102,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.recent) > REMEMBERED:
-            self.recent, self.before = _Words(self._word), self.recent
+            self.recent, self.before = Remembered(self._word), self.recent
         ids = self.recent.__getitem__
         return [
             b"".join(map(ids, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
