@@ -150,21 +150,31 @@ class TreeEncoder:
 
     def _match(self, match: str) -> bytes:
         """The ids of one match of the pattern."""
-        if len(self.pieces) >= PIECES:
-            self.pieces.clear()
         octets = match.encode("utf-8", "surrogatepass")
         whole = self.ranks.get(octets)
-        ids = array("i", self.piece(octets) if whole is None else [whole]).tobytes()
-        if len(match) <= LONG:
-            self.pieces[match] = ids
+        return array("i", self.piece(octets) if whole is None else [whole]).tobytes()
+
+    def _held(self, match: str) -> bytes:
+        ids = self.pieces.get(match)
+        if ids is None:
+            if len(self.pieces) >= PIECES:
+                self.pieces.clear()
+            ids = self._match(match)
+            if len(match) <= LONG:
+                self.pieces[match] = ids
         return ids
 
     def _segment(self, segment: str) -> bytes:
         known = self.before.get(segment)
         if known is not None:
             return known
-        held = self.pieces
-        return b"".join([held.get(m) or self._match(m) for m in self.pattern.findall(segment)])
+        last, own = segment[-1], segment[1:] if segment[0] == " " else segment
+        if last in ",." and segment[-2:-1].isalpha():
+            # A match never goes from a letter on to a mark.
+            return self.recent[segment[:-1]] + self.recent[last]
+        if own.isalpha():
+            return self._match(segment)
+        return b"".join(map(self._held, self.pattern.findall(segment)))
 
     def _segments(self, text: str) -> list[str]:
         """Cuts at which a match of the pattern always ends, whatever stands beside them.

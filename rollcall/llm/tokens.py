@@ -2,6 +2,7 @@
 
 import json
 import os
+from array import array
 from functools import cache
 
 import numpy as np
@@ -79,12 +80,17 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= PIECES:
-            self.pieces.clear()
         shown = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-        ids = np.array([t.id for t in self.tokenize(shown)], "<u4").tobytes()
-        if len(piece) <= LONG:
-            self.pieces[piece] = ids
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+
+    def _held(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= PIECES:
+                self.pieces.clear()
+            ids = self._piece(piece)
+            if len(piece) <= LONG:
+                self.pieces[piece] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
@@ -95,9 +101,13 @@ class WordEncoder:
             return b""
         if self.pattern is None or max(word) >= _SETTLED or not word.isprintable():
             return self._general(word)
-        held = self.pieces
-        found = [held.get(p) or self._piece(p) for p in self.pattern.findall(word.lower())]
-        return found[0] if len(found) == 1 else b"".join(found)
+        if word[-1] in ",." and word[-2:-1].isalpha():
+            # A piece never goes from a letter on to a mark.
+            return self.recent[word[:-1]] + self.recent[word[-1]]
+        low = word.lower()
+        if low.isalpha():
+            return self._held(low)
+        return b"".join(map(self._held, self.pattern.findall(low)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
