@@ -10,9 +10,9 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words remembered by a worker: so many recent ones, and as many before them.
-REMEMBERED = 200_000
+REMEMBERED = 350_000
 #: Pieces remembered by a worker.
-PIECES = 100_000
+PIECES = 150_000
 #: Letters of the longest word that is remembered.
 LONG = 64
 #: Below this letter no text changes under NFC, and lower case and classes are settled.
