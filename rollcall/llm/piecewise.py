@@ -45,11 +45,9 @@ def _triggers(buffer: np.ndarray):
     """
     at, levels = [], []
     for start in range(0, len(buffer), _BLOCK):
-        before = max(0, start - _WINDOW + 1)
-        piece = buffer[before : start + _BLOCK]
-        if before == 0:
+        piece = buffer[max(0, start - _WINDOW + 1) : start + _BLOCK]
+        if start == 0:
             piece = np.concatenate((np.zeros(_WINDOW - 1, np.uint8), piece))
-            piece = piece if start == 0 else piece[-(min(len(buffer), start + _BLOCK) - start + _WINDOW - 1) :]
         value = _rolling(piece) + np.uint32(1)
         hits = np.flatnonzero(value % np.uint32(LEAST_BLOCK) == 0)
         value = value[hits]
