@@ -22,7 +22,7 @@ LEAF = 6
 #: Bytes up to which the lowest rank is looked for by a plain scan.
 DIRECT = 64
 #: Segments of texts that a worker remembers: so many recent ones, and as many before them.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 #: Matches of the pattern, and short byte strings and pairs of tokens, that a worker remembers.
 PIECES, LEAVES = 100_000, 200_000
 #: Ids that are decoded directly; longer lists are halved.
