@@ -3,7 +3,9 @@
 import zlib
 from bisect import bisect_right
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import lru_cache
+from math import isqrt, lcm
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,14 @@ from rollcall.llm.tokens import id_type, word_encoder
 
 #: Tokens of a sequence.
 SEQUENCE = 4096
-#: Sources with a queue of their own; the others share one more.
+#: Sources with a queue of their own; the others share one more, in which they take turns.
 QUEUES = 63
+#: Changes of the shared queue's weight that are told apart.
+PHASES = 1000
+#: Tokens of the shared queue that are put in order together, and the most such parts.
+PART, MOST_PARTS = 1 << 20, 20_000
+#: Fractions of a token that count as none.
+_LEAST = 1e-6
 CHUNK = 2 << 20
 
 
@@ -28,8 +36,9 @@ class Stretch:
     ``taken[k]`` tokens of queue ``k`` lie before.  With ``shares``, queue ``k`` may give
     ``size * shares[k] / total`` tokens a window: after ``i`` windows it has given the whole
     part of ``i`` times that, so the fraction a window leaves over is carried to the next,
-    whichever task fills it; the ``filler`` queue gives what is missing.  Without shares there
-    is one window, and ``gives`` tells what each queue gives.
+    whichever task fills it; the ``filler`` queue gives what is missing.  ``owed[k]``, below
+    ``total``, is the fraction the stretches before left over.  Without shares there is one
+    window, and ``gives`` tells what each queue gives.
     """
 
     first: int
@@ -40,14 +49,18 @@ class Stretch:
     filler: int = 0
     size: int = SEQUENCE
     gives: tuple[int, ...] = ()
+    owed: tuple[int, ...] = ()
 
     def given(self, queue: int, i: int) -> int:
         """Tokens a queue has given in the first ``i`` windows of the stretch."""
         if not self.shares:
             return self.gives[queue] if i else 0
         if queue != self.filler:
-            return i * self.size * self.shares[queue] // self.total
-        others = sum(i * self.size * s // self.total for k, s in enumerate(self.shares) if k != queue)
+            return (i * self.size * self.shares[queue] + self.owed[queue]) // self.total
+        others = sum(
+            (i * self.size * s + o) // self.total
+            for k, (s, o) in enumerate(zip(self.shares, self.owed, strict=True)) if k != queue
+        )
         return i * self.size - others
 
     def window_of(self, queue: int, position: int) -> int:
@@ -63,33 +76,76 @@ class Stretch:
         return i
 
 
-def mixture(totals: list[int], targets: list[int] | None = None, size: int = SEQUENCE) -> list[Stretch]:
+def mixture(
+    totals: list[int],
+    targets: list[int] | None = None,
+    size: int = SEQUENCE,
+    phases: list[tuple[int, int]] = (),
+) -> list[Stretch]:
     """Stretches that take every token of the queues, in their target proportions.
 
     Targets are weights, by default the totals, so that all queues end together.  When a
-    queue runs dry the others go on in their proportions.  The last stretch holds the rest,
-    less than a sequence.
+    queue runs dry the others go on in their proportions, and those without a weight come
+    last, in proportion to their tokens.  ``phases`` are ends and weights for the last queue:
+    its weight until it has given so many tokens, then none.  The last stretch holds the
+    rest, less than a sequence.
     """
-    weights = targets or totals
+    weights = list(targets or totals)
     left, done, first, found = list(totals), [0] * len(totals), 0, []
+    # Fractions of tokens that queues are behind their shares.
+    behind = [0.0] * len(totals)
+    ends = [end for end, _ in phases]
+
+    def shares_after(given):
+        if phases:
+            phase = bisect_right(ends, done[-1] + given[-1] + _LEAST)
+            weights[-1] = phases[phase][1] if phase < len(phases) else 0
+        have = [n - g for n, g in zip(left, given, strict=True)]
+        shares = [w if h > _LEAST else 0 for w, h in zip(weights, have, strict=True)]
+        return shares if any(shares) else [n if h > _LEAST else 0 for n, h in zip(left, have, strict=True)]
+
+    def to_phase_end(given):
+        phase = bisect_right(ends, done[-1] + given[-1] + _LEAST)
+        return ends[phase] - done[-1] - given[-1] if phase < len(ends) else None
+
     while sum(left) >= size:
-        shares = [w if have else 0 for w, have in zip(weights, left, strict=True)]
-        if not any(shares):
-            shares = [int(have > 0) for have in left]
+        none = [0] * len(left)
+        shares, until = shares_after(none), to_phase_end(none)
         total, filler = sum(shares), max(range(len(left)), key=lambda k: shares[k])
         windows = min(
             max(0, left[k] - (len(left) if k == filler else 0)) * total // (size * s)
             for k, s in enumerate(shares)
             if s
         )
+        if until is not None and shares[-1]:
+            windows = min(windows, until * total // (size * shares[-1]))
         if windows:
-            part = Stretch(first, windows, tuple(done), tuple(shares), total, filler, size)
+            owed = [
+                min(int(x * total), total - 1) if s and k != filler else 0
+                for k, (x, s) in enumerate(zip(behind, shares, strict=True))
+            ]
+            part = Stretch(first, windows, tuple(done), tuple(shares), total, filler, size, owed=tuple(owed))
             gives = [part.given(k, windows) if s else 0 for k, s in enumerate(shares)]
+            behind = [
+                (windows * size * s + o) % total / total if k != filler else 0.0
+                for k, (s, o) in enumerate(zip(shares, owed, strict=True))
+            ]
         else:
-            windows = 1
-            gives = [min(have, size * s // total) for have, s in zip(left, shares, strict=True)]
-            for k in sorted(range(len(left)), key=lambda k: -shares[k]):
+            # A queue or a phase ends in this window: from one end to the next.
+            windows, want = 1, [min(x, have) for x, have in zip(behind, left, strict=True)]
+            room = size - sum(want)
+            while room > _LEAST and any(now := shares_after(want)):
+                steps = [(have - x) / s for have, x, s in zip(left, want, now, strict=True) if s]
+                until = to_phase_end(want)
+                if until is not None and now[-1]:
+                    steps.append(until / now[-1])
+                step = min(room / sum(now), *steps)
+                want = [min(have, x + step * s) for have, x, s in zip(left, want, now, strict=True)]
+                room = size - sum(want)
+            gives = [min(have, int(x + _LEAST)) for have, x in zip(left, want, strict=True)]
+            for k in sorted(range(len(left)), key=lambda k: (k != filler, -shares[k])):
                 gives[k] += min(left[k] - gives[k], size - sum(gives))
+            behind = [min(max(x - g, 0.0), 1 - _LEAST) for x, g in zip(want, gives, strict=True)]
             part = Stretch(first, 1, tuple(done), size=size, gives=tuple(gives))
         found.append(part)
         first += windows
@@ -100,6 +156,42 @@ def mixture(totals: list[int], targets: list[int] | None = None, size: int = SEQ
     return found
 
 
+def whole_weights(targets: dict) -> dict[str, int]:
+    """Positive targets as whole numbers in the same proportions."""
+    exact = {name: Fraction(str(t)) for name, t in targets.items()}
+    scale = lcm(*(t.denominator for t in exact.values()))
+    return {name: int(t * scale) for name, t in exact.items() if t > 0}
+
+
+def shared_phases(totals: list[int], weights: list[int]) -> tuple[list[tuple[int, int]], list[float]]:
+    """The phases of a queue that sources with these totals and weights share, and their times.
+
+    A source gives its weight a unit of time and is dry at total / weight; then the weight of
+    the queue is that of the others.  Beyond ``PHASES`` changes, neighbouring ones are taken
+    together at their mean weight.
+    """
+    dry = sorted((n / w, w, n) for n, w in zip(totals, weights, strict=True))
+    active, at, given, ends = sum(weights), 0.0, 0.0, []
+    for time, weight, _ in dry:
+        given += active * (time - at)
+        ends.append((time, given, active))
+        active, at = active - weight, time
+    step, phases, times, since = -(-len(ends) // PHASES), [], [], (0.0, 0.0)
+    for k in range(len(ends)):
+        time, given, active = ends[k]
+        if (k + 1) % step and k + 1 < len(ends):
+            continue
+        end = sum(totals) if k + 1 == len(ends) else round(given)
+        if time > since[0] and end > (phases[-1][0] if phases else 0):
+            mean = active if step == 1 else max(1, round((given - since[1]) / (time - since[0])))
+            phases.append((end, mean))
+            times.append(time)
+            since = (time, given)
+    if phases:
+        phases[-1] = (sum(totals), phases[-1][1])
+    return phases, times
+
+
 class Cutter:
     """Cuts documents of a queue into pieces, given the stretches."""
 
@@ -181,6 +273,41 @@ def _tokenised(docs, id_column, text, source, vocabulary, end_id):
     return stored(rows.mapInArrow(encoded, schema), "tokens", "zstd")
 
 
+def _taking_turns(met: DataFrame, targets: bool, times: list[float], given: list[int]) -> DataFrame:
+    """``_id``, ``_queue``, ``_ids`` of the shared queue's documents and their place ``_at`` in it.
+
+    ``given`` are the tokens the queue has given at ``times``, between which it is linear: the
+    parts it is cut into hold about equal numbers of tokens, are ordered on their own, and
+    begin where those before them end.
+    """
+    parts = min(MOST_PARTS, given[-1] // PART + 1)
+
+    @F.arrow_udf("int")
+    def part(moments: pa.Array) -> pa.Array:
+        about = np.interp(moments.to_numpy(zero_copy_only=False), times, given)
+        return pa.array(np.minimum(about * (parts / given[-1]), parts - 1).astype(np.int32))
+
+    phase = F.shiftrightunsigned(F.xxhash64("_source"), 11) / float(1 << 53)
+    inside = F.col("_at") + phase * F.col("_n")
+    last = F.lit(times[-2] if targets else 0.0)
+    moment = F.when(F.col("_weight") > 0, inside / F.col("_weight")).otherwise(last + inside / F.col("_total"))
+    timed = met.withColumn("_time", moment).withColumn("_part", part("_time"))
+    sums = {r._part: r.n for r in timed.groupBy("_part").agg(F.sum("_n").alias("n")).collect()}
+    begins, at = [], 0
+    for k in sorted(sums):
+        begins.append((k, at))
+        at += sums[k]
+    starts = met.sparkSession.createDataFrame(begins, "_part int, _start bigint")
+    before = (
+        W.partitionBy("_part").orderBy("_time", "_source", "_run", "_at").rowsBetween(W.unboundedPreceding, -1)
+    )
+    return (
+        timed.withColumn("_inside", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .join(F.broadcast(starts), "_part")
+        .select("_id", "_queue", (F.col("_start") + F.col("_inside")).alias("_at"), "_ids")
+    )
+
+
 def packed(
     docs: DataFrame,
     vocabulary: str,
@@ -196,53 +323,74 @@ def packed(
 
     Each source is a queue of its documents in the order of the input.  Every sequence takes
     from each queue its target share of tokens, by default the source's share of all tokens
-    (``targets`` maps sources to weights; sources it lacks weigh nothing until the others are
-    empty).  Documents are cut where a share ends.  The fractions of tokens a sequence cannot
-    hold are carried on, so after any number of sequences a queue is less than a token behind
-    its share.  The 63 sources with the most tokens (or targets) have queues of their own and
-    the rest share one: the state of the mixture is bounded however many sources there are.
+    (``targets`` maps sources to weights, which may be fractions; sources it lacks weigh
+    nothing until the others are empty, then what they have).  Documents are cut where a share
+    ends.  The fractions of tokens a sequence cannot hold are carried on, so after any number
+    of sequences a queue is less than a token behind its share.
+
+    The 63 sources with the largest targets, then the most tokens, have queues of their own
+    (fewer where a sequence has less than 4,096 tokens: a queue's share fills what the others
+    round off), so the state of the mixture is bounded however many sources there are.  The others share
+    one more with the sum of their weights, in which whole documents take turns: they are
+    ordered by the time at which their source, giving its weight a unit of time, comes to
+    them, so each source stays about a document from its share.  A fixed phase by the
+    source's name keeps sources of one document from meeting at one time.
 
     Sequences are full; the rest is laid out in sequences of powers of two.  A null text counts
     as empty: its document is ``end_id`` alone.  Null sources are one source.  Repeated rows
     and null ids are documents like others; an empty table has no pieces.
 
-    Documents never move: each task computes the windows of its documents from the number of
-    tokens before them, which is summed up by run and source.
+    Documents of a queue of their own never move: each task computes the windows of its
+    documents from the number of tokens before them, which is summed up by run and source.
+    Those of the shared queue move once, to parts of about equal numbers of tokens by time.
     """
     kind = dict(docs.dtypes)[id_column]
     tokens = _tokenised(docs, id_column, text, source, vocabulary, end_id)
     sums = stored(
         tokens.groupBy("_run", "_source").agg(F.sum("_n").alias("_n")), "run-totals"
     )
-    by_source = sums.groupBy("_source").agg(F.sum("_n").alias("_n"))
+    by_source = sums.groupBy("_source").agg(F.sum("_n").alias("_total"))
+    wanted = {f"={name}": w for name, w in whole_weights(targets or {}).items()}
     if targets:
-        top = [f"={name}" for name in list(targets)[:QUEUES]]
+        listed = docs.sparkSession.createDataFrame(
+            [(name, float(w)) for name, w in wanted.items()], "_source string, _weight double"
+        )
+        known = stored(by_source.join(listed, "_source", "left"), "source-totals")
+        having = {r._source: r._total for r in known.where("_weight > 0").collect()}
     else:
-        top = [r._source for r in by_source.orderBy(F.desc("_n"), "_source").limit(QUEUES).collect()]
+        known = stored(by_source.withColumn("_weight", F.col("_total").cast("double")), "source-totals")
+        having = {}
+    queues = min(QUEUES, isqrt(size) - 1)
+    top = sorted(having, key=lambda name: (-wanted[name], name))[:queues]
+    free = known if not targets else known.where("_weight IS NULL")
+    if len(top) < queues:
+        top += [r._source for r in free.orderBy(F.desc("_total"), "_source").limit(queues - len(top)).collect()]
     places = F.create_map(*[F.lit(x) for k, name in enumerate(top) for x in (name, k)]) if top else None
     queue = F.coalesce(F.try_element_at(places, F.col("_source")), F.lit(len(top))) if top else F.lit(0)
-    queued = sums.withColumn("_queue", queue.cast("int"))
-    by_queue = {r._queue: r.n for r in queued.groupBy("_queue").agg(F.sum("_n").alias("n")).collect()}
+    queued = known.withColumn("_queue", queue.cast("int"))
+    by_queue = {r._queue: r.n for r in queued.groupBy("_queue").agg(F.sum("_total").alias("n")).collect()}
     totals = [by_queue.get(k, 0) for k in range(len(top) + 1)]
-    weights = [*(int(targets[n[1:]]) for n in top), 0] if targets else None
-    stretches = mixture(totals, weights, size)
-
-    # Tokens of the queue before each run, and of other sources of the queue in the same run.
-    per_run = queued.groupBy("_queue", "_run").agg(F.sum("_n").alias("_sum"))
-    before = W.partitionBy("_queue").orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
-    within = W.partitionBy("_queue", "_run").orderBy("_source").rowsBetween(W.unboundedPreceding, -1)
-    runs = per_run.select(
-        "_queue", "_run", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")
-    )
+    shared = sorted(set(having) - set(top))
+    phases, times = shared_phases([having[n] for n in shared], [wanted[n] for n in shared])
+    weights = [*(wanted.get(n, 0) for n in top), 0] if targets else None
+    stretches = mixture(totals, weights, size, phases)
+
+    # Tokens of the source before each run.
+    before = W.partitionBy("_source").orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     begin = stored(
-        queued.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(runs, ["_queue", "_run"])
-        .select("_run", "_source", "_queue", (F.col("_before") + F.col("_inside")).alias("_begin")),
+        sums.withColumn("_begin", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .drop("_n").join(queued, "_source"),
         "begins",
     )
-    placed = tokens.join(begin, ["_run", "_source"]).select(
-        "_id", "_queue", (F.col("_begin") + F.col("_at")).alias("_at"), "_ids"
-    )
+    met = tokens.join(begin, ["_run", "_source"]).withColumn("_at", F.col("_begin") + F.col("_at"))
+    placed = met.where(F.col("_queue") < len(top)).select("_id", "_queue", "_at", "_ids")
+    if totals[-1]:
+        # Points of time, and the tokens the queue has given about then.
+        points = ([0.0, *times], [0, *(end for end, _ in phases)]) if phases else ([0.0], [0])
+        if points[1][-1] < totals[-1]:
+            points = ([*points[0], points[0][-1] + 1], [*points[1], totals[-1]])
+        turns = _taking_turns(met.where(F.col("_queue") == len(top)), bool(targets), *points)
+        placed = placed.unionByName(turns)
 
     def cut(parts):
         cutter, narrow = Cutter(stretches), id_type(vocabulary)

@@ -193,6 +193,54 @@ def test_packing_awkward(awkward, nothing, words, targets):
     assert packing.packed(nothing, queries.WORD_VOCABULARY, 2).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["none", "targets", "some", "single"])
+def test_packing_of_many_sources(spark, shipping, words, kind):
+    """Each of 100 sources stays near its share; targets are fractions, the largest come last."""
+    rnd = random.Random(3)
+    names = [f"n{k:02d}" for k in range(100)]
+    own = {n: 1 if kind == "single" else 12 for n in names}
+    docs, source = [], {}
+    for n in names:
+        for _ in range(own[n]):
+            source[len(docs)] = n
+            docs.append((len(docs), "word " * rnd.randint(5, 25), n))
+    targets = {"targets": {n: 0.25 * (k // 10 + 1) for k, n in enumerate(names)}, "some": {n: k + 1 for k, n in enumerate(names[:80])}}.get(kind)
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    rows = packing.packed(df, queries.WORD_VOCABULARY, 2, targets=targets, size=256).collect()
+    check_pieces(rows, [(i, t) for i, t, _ in docs], words, 256)
+    totals = defaultdict(int)
+    for r in rows:
+        totals[source[r.doc_id]] += r.length
+    given, seen, longest = defaultdict(int), 0, max(r.doc_tokens for r in rows)
+    weights = targets or totals
+
+    def fluid(time):
+        return {n: min(totals[n], time * weights.get(n, 0)) for n in names}
+
+    pieces = sorted(rows, key=lambda r: (r.sequence_id, r.offset))
+    for at, r in enumerate(pieces):
+        given[source[r.doc_id]] += r.length
+        seen += r.length
+        if at + 1 < len(pieces) and pieces[at + 1].sequence_id == r.sequence_id:
+            continue
+        if seen > sum(totals[n] for n in names if weights.get(n)):
+            assert all(given[n] == totals[n] for n in names if weights.get(n))
+            continue
+        low, high = 0.0, max(totals[n] / weights[n] for n in names if weights.get(n))
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if sum(fluid(middle).values()) < seen else (low, middle)
+        for n, want in fluid(low).items():
+            assert abs(given[n] - want) <= 1.5 * longest + 8, (r.sequence_id, n)
+
+
+def test_phases_are_bounded():
+    totals, weights = list(range(1, 5001)), [k % 7 + 1 for k in range(5000)]
+    phases, times = packing.shared_phases(totals, weights)
+    assert len(phases) == len(times) <= packing.PHASES and phases[-1][0] == sum(totals)
+    assert packing.whole_weights({"a": 0.1, "b": 0.25, "c": 0}) == {"a": 2, "b": 5}
+
+
 def test_mixtures():
     rnd = random.Random(1)
     for _ in range(200):
