@@ -12,27 +12,84 @@ ROUNDS = 10
 #: The key of the registered query; a real one is a secret of the caller.
 EXAMPLE_KEY = "example key, to be replaced"
 
-# The formats in which personal data are looked for.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-ACCOUNT = (
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# The formats in which personal data are looked for.  What a pattern can check is
+# checked in it, so that a candidate that fails does not consume its text.
+_LOCAL = r"[A-Za-z0-9._%+-]"
+_DOMAIN = r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+EMAIL = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+{_DOMAIN}"
+#: An address at the end of a longer run, and what tells that a text may have one.
+LATE_EMAIL, LONG_RUN = rf"(?<={_LOCAL}){_LOCAL}{{64}}{_DOMAIN}", rf"(?<!{_LOCAL}){_LOCAL}{{65,}}+@"
+#: What may begin with an account, as group 1, at each place where one may begin.
+ACCOUNT_RUN = (
+    r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?[A-Za-z0-9]*))"
 )
-ISO_DATE = r"(?<![0-9./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])"
-DAY_DATE = (
-    r"(?<![0-9./-])(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
-    r"|[0-9]{2}-[0-9]{2}-[0-9]{4})(?![0-9])"
+#: Lengths of accounts by country; where a country is not listed the longest valid one counts.
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_YEAR = r"(?:18|19|20|21)[0-9]{2}"
+_LEAP = r"(?:(?:18|19|20|21)(?:0[48]|[2468][048]|[13579][26])|2000)"
+#: Days and months of every year, without the 29th of February.
+_MONTH_DAYS = [
+    (r"(?:0[13578]|1[02])", r"(?:0[1-9]|[12][0-9]|3[01])"), (r"(?:0[469]|11)", r"(?:0[1-9]|[12][0-9]|30)"),
+    ("02", r"(?:0[1-9]|1[0-9]|2[0-8])"),
+]
+ISO_DATE = (
+    r"(?<![0-9./-])(?=[0-9]{4}-)(?:" + _YEAR + "-(?:" + "|".join(f"{m}-{d}" for m, d in _MONTH_DAYS)
+    + rf")|{_LEAP}-02-29)(?![0-9])"
 )
-SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-PHONE = (
-    r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-    r"|\+[2-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])"
-    r"|(?<![0-9])(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+
+
+def _day_dates(mark: str) -> str:
+    pairs = [x for m, d in _MONTH_DAYS for x in (d + mark + m, m + mark + d)]
+    return f"(?:{'|'.join(pairs)}){mark}{_YEAR}|(?:29{mark}02|02{mark}29){mark}{_LEAP}"
+
+
+DAY_DATE = (
+    r"(?<![0-9./-])(?=[0-9]{2}[./-][0-9]{2}[./-])(?:"
+    + "|".join(map(_day_dates, ("/", r"\.", "-"))) + r")(?![0-9])"
 )
-CARD = (
-    r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
+SOCIAL = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+ADDRESS = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
+#: What may be a card, as group 1, at each place where one may begin.
+CARD_RUN = (
+    r"(?<![0-9])(?=((?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])))"
 )
-CANDIDATE = "|".join((EMAIL, ACCOUNT, ISO_DATE, DAY_DATE, SOCIAL, ADDRESS, PHONE, CARD))
+#: Countries whose numbers have one length, by the digits after the country code.
+PHONE_LENGTHS = {8: "45|47|65|852", 9: "27|31|33|34|41|48|61|84|351|380|420|421", 10: "7|30|44|52|63|90|91", 11: "86"}
+
+
+def phone_pattern(after: str) -> str:
+    """Phone numbers, which no gap carries on into ``after``.
+
+    A number ends at the length its country fixes, or at a gap behind six digits in a row, so
+    it is the same whatever number stands behind it; where neither gives one, at most 15 digits.
+    """
+    gap = rf"[ .()-]{{1,2}}(?!{after})"
+    digit = rf"(?:(?:{gap})?[0-9])"
+    block = rf"(?:(?:[.()-]{{0,2}}|(?<![0-9]{{6}}){gap})[0-9])"
+    fixed = "|".join(
+        rf"\+(?:{codes})(?:[ .-]?\(0\))?{digit}{{{n}}}(?![0-9])" for n, codes in PHONE_LENGTHS.items()
+    )
+    return (
+        r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+        rf"|{fixed}|\+[2-9]{block}{{7,14}}(?![0-9])|\+[2-9]{digit}{{7,14}}(?![0-9])"
+        r"|(?<![0-9])(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-]"
+        rf"(?!{after})[0-9]{{4}}(?![0-9])"
+    )
+
+
+_NUMBERS = "|".join((ISO_DATE, DAY_DATE, SOCIAL, ADDRESS))
+#: What ends a phone number at a gap; what its own groups may look like does so only behind a
+#: country code and eight digits, eleven signs with the gaps.
+_BEHIND = r"(?<=\+[0-9 .()-]{11,40})"
+_STOPS = f"{ISO_DATE}|{_BEHIND}(?:{DAY_DATE}|{SOCIAL}|{ADDRESS})"
+#: Candidates of a text without valid accounts and cards.
+CANDIDATE = "|".join((EMAIL, _NUMBERS, phone_pattern(_STOPS)))
 KINDS = ["email", "account", "date", "social", "address", "phone", "card"]
 
 #: Dates are permuted within the 400 years from here: 146,097 days, 189 times 773.
@@ -306,13 +363,70 @@ def _email(m: Column, key: str) -> Column:
     return F.concat(_then(F.left(m, at - 1), local), F.substring(m, at, F.length(m)))
 
 
+def _luhn(m: Column) -> Column:
+    return F.call_function("luhn_check", _digits(m))
+
+
+def _account_in(run: Column) -> Column:
+    """The valid account a run begins with, or null: of its country's length, else the longest."""
+    words = F.split(run, " ")
+    starts = F.transform(
+        F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")
+    )
+    known = F.create_map(*[F.lit(x) for n, codes in ACCOUNT_LENGTHS.items() for c in codes.split() for x in (c, n)])
+
+    def rated(m):
+        return _then(
+            F.replace(m, F.lit(" "), F.lit("")),
+            lambda a: F.when(
+                a.rlike("^[A-Z0-9]{15,34}$") & a.rlike("^.{4}.*[0-9].*[0-9]")
+                & (_mod97(F.concat(F.substring(a, F.lit(5), F.length(a)), F.left(a, F.lit(4)))) == 1),
+                F.struct(
+                    F.coalesce(F.try_element_at(known, F.left(a, F.lit(2))) == F.length(a), F.lit(False)).alias("fits"),
+                    F.length(a).alias("n"), m.alias("text"),
+                ),
+            ),
+        )
+
+    return F.array_max(F.transform(starts, rated))["text"]
+
+
+def _any_of(values: Column) -> Column:
+    """A pattern for the given texts, the longest first; they have no special signs."""
+    sized = F.transform(F.array_distinct(values), lambda v: F.struct(F.length(v).alias("n"), v.alias("v")))
+    return F.array_join(F.transform(F.reverse(F.array_sort(sized)), lambda x: x["v"]), "|")
+
+
+def candidates(body: Column, accounts: Column, cards: Column) -> Column:
+    """The pattern of a text's candidates, given its valid accounts and cards.
+
+    Checks no pattern can make are made before, at every place where an account or a card may
+    begin, so each candidate is valid and none is hidden by one that is not.
+    """
+    card = F.concat(F.lit("(?<![0-9])(?=[0-9])(?:"), _any_of(cards), F.lit(")(?![0-9])"))
+    account = F.concat(
+        F.lit("(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:"), _any_of(accounts), F.lit(")(?![A-Za-z0-9])|")
+    )
+    # Cards are met alone and behind the gaps of phones.
+    marked = phone_pattern(f"{_STOPS}|@@").split("@@")
+    phone = F.concat(F.lit(marked[0]), *[x for part in marked[1:] for x in (card, F.lit(part))])
+    late = F.when(body.rlike(LONG_RUN), F.lit(f"{LATE_EMAIL}|")).otherwise("")
+    numbers = F.lit(f"{_NUMBERS}|")
+    return F.concat(
+        F.lit(f"{EMAIL}|"), late, F.when(F.size(accounts) > 0, account).otherwise(""), numbers,
+        F.when(F.size(cards) > 0, F.concat(phone, F.lit("|"), card)).otherwise(F.lit(phone_pattern(_STOPS))),
+    )
+
+
 def pseudonym(found: Column, key: str) -> Column:
     """``kind`` and ``value`` of a candidate; both null where its check fails."""
     whole = lambda pattern: found.rlike(f"^(?:{pattern})$")
+    # A card has 13 digits or more and no sign before them, a phone with so many has one.
+    phone = F.startswith(found, F.lit("+")) | (F.length(_digits(found)) < 13)
     kinds = [
         ("email", F.instr(found, "@") > 0, _email), ("account", whole("[A-Z]{2}.*"), _account),
         ("date", whole(ISO_DATE) | whole(DAY_DATE), _date), ("social", whole(SOCIAL), _social),
-        ("address", whole(ADDRESS), _address), ("phone", whole(PHONE), _phone),
+        ("address", whole(ADDRESS), _address), ("phone", phone, _phone),
     ]
     value, kind = None, None
     for name, fits, make in kinds:
@@ -336,17 +450,27 @@ def pseudonymised(
 
     Candidates are checked: card numbers by Luhn, accounts by modulo 97, dates by the calendar
     (1800 to 2199), social numbers and network addresses by their ranges; what fails stays as
-    it is.  The value of a valid one is permuted by the key within its format, so equal values
-    are equal everywhere, different ones differ, and checks still hold.  Null texts count as
-    empty; repeated rows and null ids stay as they are.
+    it is and hides no valid one inside or behind it.  An account ends where its country's
+    length or the check says, and a phone number before a date or another number (see
+    ``phone_pattern``).  The value of a valid one is permuted by the key within its format, so
+    equal values are equal everywhere, different ones differ, and checks still hold.  Null
+    texts count as empty; repeated rows and null ids stay as they are.
     """
     body = text_of(text)
-    found = F.when(body.rlike("[0-9]|@"), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0))).otherwise(
-        F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    some = body.rlike("[0-9]|@")
+    runs = lambda pattern: F.when(some, F.regexp_extract_all(body, F.lit(pattern), F.lit(1))).otherwise(none)
+    valid = docs.select(
+        F.col(id_column).alias("_id"), body.alias("_text"),
+        F.filter(F.transform(runs(ACCOUNT_RUN), _account_in), lambda m: m.isNotNull()).alias("_accounts"),
+        F.filter(runs(CARD_RUN), _luhn).alias("_cards"),
     )
-    rows = docs.select(F.col(id_column).alias("_id"), body.alias("_text"), found.alias("_found"))
-    named = rows.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
-    between = F.split("_text", CANDIDATE, -1)
+    rows = valid.select("_id", "_text", candidates(F.col("_text"), F.col("_accounts"), F.col("_cards")).alias("_pattern"))
+    found = F.when(
+        F.col("_text").rlike("[0-9]|@"), F.regexp_extract_all("_text", F.col("_pattern"), F.lit(0))
+    ).otherwise(none)
+    named = rows.withColumn("_found", found).withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
+    between = F.split("_text", F.col("_pattern"), -1)
     values = F.zip_with("_new", "_found", lambda n, m: F.coalesce(n["value"], m))
     woven = F.array_join(
         F.zip_with(between, F.array_append(values, F.lit("")), lambda a, b: F.concat(a, b)), ""

@@ -102,6 +102,64 @@ def test_permutations_are_one_to_one(spark):
     assert made(spark, [values[0]], "other")[0].text != new[0]
 
 
+def alone(spark, values):
+    rows = made(spark, values)
+    return [rows[i].text for i in range(len(values))]
+
+
+def test_neighbours_of_accounts(spark):
+    account, date, card, mail = "ES91 2100 0418 4502 0005 1332", "2024-05-01", "4111 1111 1111 1111", "a@b.co"
+    a, d, c, m, f = alone(spark, [account, date, card, mail, "FR14 2004 1010 0505 0001 3M02 606"])
+    assert a != account and d != date and c != card
+    texts = {
+        f"{account} USD": f"{a} USD", f"{account} {date}": f"{a} {d}", f"{account} 2024": f"{a} 2024",
+        f"{account.replace(' ', '')} {date}, {mail}": f"{a.replace(' ', '')} {d}, {m}",
+        f"ID12 {card}": f"ID12 {c}", f"AB12 CD34 {account}": f"AB12 CD34 {a}", f"DE12 {card} 42": f"DE12 {c} 42",
+        f"{account} {card} {account} EUR": f"{a} {c} {a} EUR", f"2024 {card}": f"2024 {c}",
+        "FR14 2004 1010 0505 0001 3M02 606 FR14 2004 1010 0505 0001 3M02 606 X": f"{f} {f} X",
+        f"99/99/{card}": f"99/99/{c}", "ES91 2100 0418 4502 0005 1333 USD": "ES91 2100 0418 4502 0005 1333 USD",
+    }
+    assert alone(spark, list(texts)) == list(texts.values())
+
+
+def test_neighbours_of_phones(spark):
+    phones = ["+49 30 1234567", "+44 20 7946 0958", "+33 1 23 45 67 89", "+1 (343) 555-6039", "+7 495 123-45-67", "343-555-6039"]
+    date, card = "2024-01-01", "4111 1111 1111 1111"
+    new = dict(zip([*phones, date, card], alone(spark, [*phones, date, card]), strict=True))
+    assert all(k != v for k, v in new.items())
+    pairs = [(p, x) for p in phones for x in (date, card, "2024", "17 EUR", "01.02.2003"[:2])]
+    want = [f"{new[p]} {new.get(x, x)}" for p, x in pairs]
+    assert alone(spark, [f"{p} {x}" for p, x in pairs]) == want
+    spaced, dotted, dashed = alone(spark, ["+31 20 123 45 67", "+31 20.123.45.67", "+49 123-45-6789"])
+    assert dotted.replace(".", " ") == spaced and dashed.startswith("+49 ") and dashed != "+49 123-45-6789"
+    assert alone(spark, [f"+39 06 1234 5678 {x}" for x in (date, "123-45-6789")]) == [
+        f"{alone(spark, ['+39 06 1234 5678'])[0]} {x}" for x in (new[date], alone(spark, ["123-45-6789"])[0])
+    ]
+    assert alone(spark, [f"+49 30 1234 5678 {date}"]) == [f"{alone(spark, ['+49 30 1234 5678'])[0]} {new[date]}"]
+
+
+def test_mail_in_a_longer_run(spark):
+    for n in (3, 64, 65, 200):
+        text = "-" * n + "john@example.com"
+        new = alone(spark, [text])[0]
+        assert len(new) == len(text) and new.endswith("@example.com") and "john" not in new
+
+
+def test_dates_of_the_calendar(spark):
+    first, texts, bad = datetime.date(1800, 1, 1), [], []
+    for y in (1800, 1900, 1904, 1999, 2000, 2004, 2100, 2199):
+        for mo in range(0, 14):
+            for d in (0, 1, 28, 29, 30, 31, 32):
+                try:
+                    datetime.date(y, mo, d)
+                    texts.append(f"{y}-{mo:02d}-{d:02d}")
+                except ValueError:
+                    bad.append(f"{y}-{mo:02d}-{d:02d}")
+    rows = made(spark, [" ".join(texts), " ".join(bad), "31.12.2199 12/31/1800 30-04-2001"])
+    assert len(rows[0].pseudonyms) == len(texts) and rows[1].pseudonyms == [] and len(rows[2].pseudonyms) == 3
+    assert all(datetime.date.fromisoformat(x) >= first for x in rows[0].text.split(" "))
+
+
 def test_given_texts(spark):
     docs = dict(duckdb_tables(SMALL).execute("SELECT doc_id, text FROM documents").fetchall())
     rows = queries.registered()["op10_pii"](spark, SMALL).collect()
