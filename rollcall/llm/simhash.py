@@ -86,12 +86,21 @@ def _distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def _followed(alike: DataFrame, key: list[str]) -> DataFrame:
+    """Links of the sharers of each variant to the smallest of them."""
+    hubs = alike.groupBy(*key, "_near").agg(F.min("_print").alias("_hub"), F.count(F.lit(1)).alias("_m"))
+    return alike.join(hubs.where("_m > 1"), [*key, "_near"]).select(
+        F.col("_print").alias("a"), F.col("_hub").alias("b")
+    )
+
+
 def links(prints: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     """Links ``a``, ``b`` that connect whatever distinct fingerprints differ in ``bits`` or fewer.
 
     Buckets are counted first; those in which nothing can meet drop out.  In small ones each
     pair is compared.  In a large one the other segment is signed too, by its variants with one
-    bit turned: sharers of such a variant are two bits apart at most, and follow its smallest.
+    bit turned: sharers of such a variant are two bits apart at most, and follow its smallest;
+    for one bit, a variant meets the fingerprint that equals it instead.
     Every link is verified; none is lost and no large bucket is paired.
     """
     if not 1 <= bits <= 2:
@@ -120,10 +129,15 @@ def links(prints: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     ).alias("_near")
     # Same segment: sharers of a variant are at most two bits apart.
     alike = large.where("_whole").select(*key, "_print", turned)
-    hubs = alike.groupBy(*key, "_near").agg(F.min("_print").alias("_hub"), F.count(F.lit(1)).alias("_m"))
-    follow = alike.join(hubs.where("_m > 1"), [*key, "_near"]).select(
-        F.col("_print").alias("a"), F.col("_hub").alias("b")
-    )
+    if bits == 1:
+        equal = large.where("_whole").select(
+            *key, F.col("_print").alias("_other"), F.col("_far").alias("_near")
+        )
+        follow = alike.join(equal, [*key, "_near"]).select(
+            F.col("_print").alias("a"), F.col("_other").alias("b")
+        )
+    else:
+        follow = _followed(alike, key)
     # One bit apart in the segment: at most one more in the other.
     ones = large.where("NOT _whole AND _side = 1").select(*key, "_print", turned)
     zeros = large.where("NOT _whole AND _side = 0").select(

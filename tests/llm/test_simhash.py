@@ -108,3 +108,13 @@ def test_chain_and_star(spark):
     assert len({r.root for r in rows if r.node <= 300}) == 1
     assert len({r.root for r in rows}) == 2
     assert component_roots(df.limit(0), "a", "b").collect() == []
+
+
+def test_one_bit_in_a_large_bucket(spark):
+    """Dense codes share one segment, so their bucket is over the limit; all one-bit links count."""
+    rnd = random.Random(8)
+    for _ in range(2):
+        codes = rnd.sample(range(1 << 10), 250)
+        found = simhash.links(spark.createDataFrame([(x,) for x in codes], "_print long"), 1).collect()
+        have = {frozenset((r.a, r.b)) for r in found}
+        assert have == {frozenset((x, y)) for x in codes for y in codes if (x ^ y).bit_count() == 1}
