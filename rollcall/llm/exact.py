@@ -1,4 +1,4 @@
-"""Exact deduplication by a tree of merges over sorted digest runs."""
+"""Exact deduplication by a tree of merges over runs of digests."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ def normalised(text: str) -> Column:
 def digest_rows(docs: DataFrame, id_column: str, text: str, row: Column) -> DataFrame:
     """One narrow row per document, written once: its id, a row number, digests, its run.
 
-    A run is the input partition the row came from.  Rows are sorted by a 64-bit digest;
+    A run is the input partition the row came from.  Rows are keyed by a 64-bit digest;
     SHA-256 and length verify it wherever two entries meet.
     """
     narrow = docs.select(
@@ -42,7 +42,8 @@ def digest_rows(docs: DataFrame, id_column: str, text: str, row: Column) -> Data
 def merged_runs(leaves: DataFrame, runs: int, fan_in: int = FAN_IN) -> DataFrame:
     """The merge tree: per text the smallest (id, row) and the number of rows.
 
-    In each round ``fan_in`` neighbouring runs meet, are merged by digest, and an entry keeps
+    Each round is an aggregation by digest and run, whatever way the planner groups: no run is
+    sorted.  ``fan_in`` neighbouring runs meet in it, and an entry keeps
     its smallest identifier if length and SHA-256 agree too.  A run's entries of one text are
     one row before they travel, so however often a text occurs a merge meets at most
     ``fan_in`` rows of it, and the last round is spread by digest like the first.
