@@ -160,7 +160,8 @@ def fitted(
 
     Of repeated labels of an id the smallest counts; null ids and labels are left out.  With
     more than ``fit_rows`` labelled rows, those with the smallest hashes of the id are taken,
-    about as many: the sample, and so the broadcast of its ids, is bounded at every size.
+    about as many.  Of the texts of a repeated id the one with the smallest features counts, so
+    the sample, the broadcast of its ids and the rows fitted to are bounded at every size.
     """
     known = (
         labels.where(F.col(id_column).isNotNull() & F.col(label).isNotNull() & ~held_out(id_column))
@@ -173,6 +174,8 @@ def fitted(
     measured = (
         rows.join(F.broadcast(sample), "_id")
         .select("_id", "_label", feature_column("_text").alias("_features"))
+        .groupBy("_id")
+        .agg(F.min("_label").alias("_label"), F.min("_features").alias("_features"))
         .toArrow()
     )
     found = measured.column("_features").combine_chunks()

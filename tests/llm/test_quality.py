@@ -63,3 +63,18 @@ def test_one_label_only(labels):
     model = gam.fit(np.zeros((len(labels), 2)), np.array(labels))
     score = model.scores(np.zeros((1, 2)))[0]
     assert (score >= 0.5) == (not labels or labels[0] == 1)
+
+
+def test_repeated_ids_are_fitted_once(spark, shipping, monkeypatch):
+    """However many rows a labelled id has, the driver gets one of them."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"text {i} of some words") for i in ids] + [(ids[0], "again " * k) for k in range(1, 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality.gam, "fit", lambda matrix, label: seen.append((matrix, label)))
+    quality.fitted(docs, labels)
+    matrix, label = seen[0]
+    assert len(matrix) == len(label) == len(ids) and label.tolist() == [i % 2 for i in ids]
+    first = [t for i, t in rows if i == ids[0]]
+    assert matrix[0].tolist() == min(quality.features(first).tolist())
