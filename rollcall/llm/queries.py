@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, exact, huffman, leaks, packing, pii, piecewise, quality, simhash, urls
+from rollcall.llm import (
+    bpe,
+    collocations,
+    exact,
+    huffman,
+    leaks,
+    packing,
+    pii,
+    piecewise,
+    quality,
+    simhash,
+    urls,
+)
 from rollcall.llm.common import shipped, table
 from rollcall.scratch import scratch_folder
 
@@ -145,6 +157,59 @@ def op10_pii(spark, sf_dir):
     return pii.pseudonymised(_documents(spark, sf_dir), pii.EXAMPLE_KEY)
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(_documents(spark, sf_dir), least=100, top=2000, percent=100)
+
+
+STATEMENTS["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), places AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM cut
+), counted AS (
+    SELECT lang, m, words[i : i + m - 1] AS phrase, count(*) AS f
+    FROM places, range(1, 6) AS lengths(m)
+    WHERE i + m - 1 <= len(words) GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f) AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, m, phrase, f FROM counted WHERE m > 1 AND f >= 100
+), cuts AS (
+    SELECT lang, m, phrase, f, unnest(range(1, m)) AS k FROM candidates
+), scores AS (
+    SELECT c.lang, c.m, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r, t.n,
+           (1000 * c.f::HUGEINT * t.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+    FROM cuts c JOIN totals t ON t.lang = c.lang
+    JOIN counted x ON x.lang = c.lang AND x.phrase = c.phrase[1 : c.k]
+    JOIN counted y ON y.lang = c.lang AND y.phrase = c.phrase[c.k + 1 : c.m]
+), lowest AS (
+    SELECT * FROM scores
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+    SELECT c.lang, c.phrase[i : i + w - 1] AS phrase, max(c.f) AS f
+    FROM candidates c, range(2, 5) AS widths(w), range(1, 5) AS places(i)
+    WHERE w < c.m AND i + w - 1 <= c.m GROUP BY ALL
+), ranked AS (
+    SELECT s.lang, array_to_string(s.phrase, ' ') AS phrase, a, l, r, n, score,
+           row_number() OVER (
+               PARTITION BY s.lang
+               ORDER BY score DESC, a DESC, encode(array_to_string(s.phrase, ' '))) AS rank
+    FROM lowest s LEFT JOIN inner_phrases p ON p.lang = s.lang AND p.phrase = s.phrase
+    WHERE p.f IS NULL OR 100 * p.f < 100 * s.a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def registered():
     return dict(QUERIES)
 
