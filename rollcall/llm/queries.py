@@ -12,9 +12,11 @@ from rollcall.llm import (
     exact,
     huffman,
     leaks,
+    mixing,
     packing,
     pii,
     piecewise,
+    prefix_trie,
     quality,
     simhash,
     urls,
@@ -210,6 +212,94 @@ FROM ranked WHERE rank <= 2000
 """
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), family=100, most=5)
+
+
+STATEMENTS["op12_prefix_trie"] = r"""
+WITH own AS (
+    SELECT conv_id AS c,
+           list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                ORDER BY turn NULLS FIRST, coalesce(role, '')) AS turns,
+           -- CRC-32 of the decimal id, bit by bit.
+           xor(4294967295::BIGINT, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(
+                   string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+               lambda crc, octet: list_reduce(
+                   list_prepend(xor(crc, octet), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                   lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)
+           )) % 6 AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+    SELECT o.c, list_concat(coalesce(b.turns[1 : o.h], []), o.turns[o.h + 1 :]) AS path
+    FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 100
+), members AS (
+    SELECT c, path[1 : d] AS node, d, len(path) = d AS ends
+    FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT node, d, min(c) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '') AS ends,
+           CASE WHEN d > 0 THEN length(node[d].text) ELSE 0 END AS size
+    FROM members GROUP BY node, d
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id,
+           (SELECT count(*) FROM nodes k WHERE k.d = n.d + 1 AND k.node[1 : n.d] = n.node) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.node = n.node[1 : n.d - 1]
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, n.parent_conv_id::BIGINT AS parent_conv_id,
+       n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+       count(*) FILTER (WHERE s.n_children = 0)::BIGINT AS n_leaves,
+       sum((s.n_convs - 1) * s.size)::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM linked n JOIN linked s ON s.d >= n.d AND s.node[1 : n.d] = n.node
+GROUP BY n.node, n.d, n.conv_id, n.parent_conv_id, n.n_convs, n.n_children, n.ends
+"""
+
+
+@query
+def op13_mixing(spark, sf_dir):
+    found = mixing.copies(_documents(spark, sf_dir), weights=(3, 1, 2), percent=150, most=2)
+    return found.drop("_row", "copies")
+
+
+STATEMENTS["op13_mixing"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce('=' || source, '') AS source,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5(concat_ws(':', doc_id::VARCHAR, md5(coalesce(text, '')))) AS entry
+    FROM documents
+), sources AS (
+    SELECT source, sum(size) AS size,
+           [3, 1, 2][1 + (row_number() OVER (ORDER BY source = '', source) - 1) % 3] AS weight
+    FROM docs GROUP BY source
+), levels AS (
+    -- In order of size over weight, the sources that stop at twice their size come first.
+    SELECT *, sum(weight) OVER () AS w, 150 * sum(size) OVER () AS s,
+           coalesce(sum(weight) OVER before, 0) AS w_before,
+           coalesce(sum(200 * size) OVER before, 0) AS s_before
+    FROM sources
+    WINDOW before AS (ORDER BY size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), stops AS (
+    SELECT *, 200 * size * (w - w_before) <= weight * (s - s_before) AS stop FROM levels
+), targets AS (
+    SELECT source, size,
+           CASE WHEN stop THEN size::DOUBLE * 2
+                ELSE weight::DOUBLE * (s - coalesce(sum(200 * size) FILTER (WHERE stop) OVER (), 0))::DOUBLE
+                     / (100 * (w - coalesce(sum(weight) FILTER (WHERE stop) OVER (), 0)))::DOUBLE
+           END AS target,
+           ('0x' || substr(md5('0:' || source), 1, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE AS o
+    FROM stops
+), rates AS (
+    SELECT *, CASE WHEN size > 0 THEN target / size::DOUBLE ELSE 0::DOUBLE END AS rate FROM targets
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, entry) AS k FROM docs
+)
+SELECT doc_id, p.size::BIGINT AS size, t.size::BIGINT AS source_size, target,
+       ((floor(k::DOUBLE * rate + o) - floor((k - 1)::DOUBLE * rate + o))::BIGINT * p.size)::BIGINT AS taken
+FROM placed p JOIN rates t ON t.source = p.source
+"""
+
+
 def registered():
     return dict(QUERIES)
 
