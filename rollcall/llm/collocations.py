@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import met_by_run, run_number, stored, text_of
+from rollcall.llm.common import met_by_run, run_number, spans, stored, text_of
 
 #: Words of the longest phrase, and the fewest occurrences of one.
 WORDS, LEAST = 5, 100
@@ -25,7 +25,7 @@ MOST_CELLS = 1 << 20
 #: Bits of the filter of frequent words.
 FILTER_BITS = 1 << 26
 #: Bytes of text that are cut together.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 _END = -1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -80,24 +80,26 @@ class Cut:
         begins = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
         kind = _KIND[data]
         inside = kind == 0
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
+        starts, ends = spans(inside)
         offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int32)
         flat = pa.Array.from_buffers(
             pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(_LOW[data[inside]])]
         )
         coded = flat.dictionary_encode()
         words = coded.dictionary.cast(pa.string())
-        text = np.searchsorted(begins, starts, side="right") - 1
+        text = (np.searchsorted(begins, starts, side="right") - 1).astype(np.int32)
         names = sorted(set(langs))
         number = {name: len(words) + i for i, name in enumerate(names)}
         self.dictionary = pa.concat_arrays([words, pa.array(names, pa.string())])
-        self.word = coded.indices.to_numpy().astype(np.int64)
-        self.lang = np.array([number[x] for x in langs], dtype=np.int64)[text]
+        self.word = coded.indices.to_numpy()
+        self.lang = np.array([number[x] for x in langs], dtype=np.int32)[text]
         self.owned = starts < (begins + np.array(owned, dtype=np.int64))[text]
+        # A piece ends with its last word: breaks that come before the next word.
         piece = np.searchsorted(np.flatnonzero(kind == 2), starts)
-        last = np.append(np.flatnonzero(np.diff(piece)) + 1, len(piece))
-        self.left = last[np.searchsorted(last, np.arange(len(piece)), side="right")] - np.arange(len(piece))
+        last = np.zeros(len(piece), dtype=bool)
+        last[:-1] = piece[1:] != piece[:-1]
+        last[-1:] = True
+        self.left = _ahead(last) + 1
         hashes = [xxhash.xxh64_intdigest(w.as_buffer()) for w in self.dictionary]
         self.hash = np.array(hashes, dtype=np.uint64)
 
@@ -109,9 +111,14 @@ class Cut:
         """``left`` as it is if words that are not frequent end a piece; 0 at those."""
         slot = self.first() % np.uint64(FILTER_BITS)
         kept = (frequent[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        rare = np.append(np.flatnonzero(~kept), len(kept))
-        near = rare[np.searchsorted(rare, np.arange(len(kept)))] - np.arange(len(kept))
-        return np.minimum(self.left, near)
+        return np.minimum(self.left, _ahead(~kept))
+
+
+def _ahead(marked: np.ndarray) -> np.ndarray:
+    """How far ahead of each place the next marked one is, or the end."""
+    at = np.append(np.flatnonzero(marked), len(marked))
+    place = np.arange(len(marked))
+    return (at[np.searchsorted(at, place)] - place).astype(np.int32)
 
 
 def _mixed(state, value):
@@ -135,7 +142,7 @@ class Front:
         left = np.minimum(cut.broken(self.frequent), WORDS)
         place = np.flatnonzero(cut.owned & (left > 0))
         left, state = left[place], cut.first()[place]
-        depth = np.ones(len(place), dtype=np.int64)
+        depth = np.ones(len(place), dtype=np.int32)
         for length, known in enumerate(self.extended, 1):
             at = np.minimum(np.searchsorted(known, state), len(known) - 1)
             more = (depth == length) & (known[at] == state)
@@ -149,8 +156,11 @@ class Front:
 
 def _sequences(cut: Cut, place, left, width: int):
     """The words from each place on, as numbers; ``_END`` behind the last."""
-    columns = [np.where(j < left, cut.word[np.minimum(place + j, len(cut.word) - 1)], _END) for j in range(width)]
-    return np.stack([cut.lang[place], *columns], axis=1)
+    rows = np.empty((len(place), width + 1), dtype=np.int32)
+    rows[:, 0] = cut.lang[place]
+    for j in range(width):
+        rows[:, j + 1] = np.where(j < left, cut.word[np.minimum(place + j, len(cut.word) - 1)], _END)
+    return rows
 
 
 def _order(matrix: np.ndarray, size: int) -> np.ndarray:
@@ -186,7 +196,7 @@ def _counted(front: Front | None, depth: int):
             cut = Cut(*part)
             if front is None:
                 place, state = np.flatnonzero(cut.owned), cut.first()
-                left, state = np.ones(len(place), dtype=np.int64), state[place]
+                left, state = np.ones(len(place), dtype=np.int32), state[place]
             else:
                 place, left, state, at = front.routes(cut)
                 here = at == depth

@@ -4,6 +4,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +94,12 @@ def batches(column, limit: int):
             start, size = i + 1, 0
     if start < len(column):
         yield start, len(column)
+
+
+def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs in which ``inside`` holds."""
+    edge = np.zeros(len(inside) + 1, dtype=bool)
+    edge[:-1] = inside
+    edge[1:] ^= inside
+    found = np.flatnonzero(edge)
+    return found[::2], found[1::2]
