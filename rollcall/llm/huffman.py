@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import batches, stored, text_of
+from rollcall.llm.common import stored, text_of
 from rollcall.llm.ordering import part_bounds, part_column
 from rollcall.llm.tokens import id_type, word_encoder
 
@@ -15,7 +15,6 @@ from rollcall.llm.tokens import id_type, word_encoder
 LIMIT = 18
 #: Ids after which a block ends, at the next end of a document; ids between checkpoints.
 BLOCK_IDS, STRIDE = 1 << 16, 128
-CHUNK = 2 << 20
 _HEAD = struct.Struct("<4sIQQI")
 _MAGIC = b"IDS1"
 
@@ -143,7 +142,6 @@ def _raw_blocks(docs: DataFrame, id_column: str, text: str, vocabulary: str, end
         .repartition("_part")
         .sortWithinPartitions("_part", F.col("_id").asc_nulls_last(), "_text")
     )
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def gathered(parts):
         encoder, kind = word_encoder(vocabulary), id_type(vocabulary)
@@ -151,28 +149,33 @@ def _raw_blocks(docs: DataFrame, id_column: str, text: str, vocabulary: str, end
 
         def block():
             nonlocal at, held
-            ids = np.frombuffer(b"".join(h[1] for h in held), "<u4")
+            ids = np.concatenate([h[1] for h in held])
             row = {
                 "part": part, "at": at, "n": len(ids), "docs": [h[0] for h in held],
-                "sizes": [len(h[1]) // 4 for h in held], "ids": ids.astype(kind).tobytes(),
+                "sizes": [len(h[1]) for h in held], "ids": ids.tobytes(),
             }
             at, held = at + len(ids), []
             return pa.RecordBatch.from_pylist([row], _RAW)
 
         size = 0
         for batch in parts:
-            for a, b in batches(batch.column("_text"), CHUNK):
-                piece = batch.slice(a, b - a)
-                encoded = encoder.encode(piece.column("_text").to_pylist())
-                for own, name, ids in zip(
-                    piece.column("_part").to_pylist(), piece.column("_id").to_pylist(), encoded, strict=True
+            first = 0
+            for count, flat, sizes in encoder.encode(batch.column("_text")):
+                piece, first = batch.slice(first, count), first + count
+                ends = np.cumsum(sizes)
+                ids = np.insert(flat, ends, end_id).astype(kind)
+                ends = (ends + np.arange(1, count + 1)).tolist()
+                for own, name, a, b in zip(
+                    piece.column("_part").to_pylist(), piece.column("_id").to_pylist(),
+                    [0, *ends], ends, strict=False,
                 ):
                     if own != part:
                         if held:
                             yield block()
                         part, at, size = own, 0, 0
-                    held.append((name, ids + end))
-                    size += len(ids) // 4 + 1
+                    # A copy, so that a block holds its own ids only.
+                    held.append((name, ids[a:b].copy()))
+                    size += b - a
                     if size >= BLOCK_IDS:
                         yield block()
                         size = 0

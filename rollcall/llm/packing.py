@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import batches, run_number, stored, text_of
-from rollcall.llm.tokens import id_type, word_encoder
+from rollcall.llm.tokens import id_slices, id_type, word_encoder
 
 #: Tokens of a sequence.
 SEQUENCE = 4096
@@ -243,23 +243,23 @@ class Cutter:
 def _tokenised(docs, id_column, text, source, vocabulary, end_id):
     """Each document's ids, and where they begin among those of its source in its run."""
     kind = dict(docs.dtypes)[id_column]
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def encoded(parts):
         encoder, narrow = word_encoder(vocabulary), id_type(vocabulary)
         totals = {}
         for batch in parts:
-            for a, b in batches(batch.column("_text"), CHUNK):
-                piece = batch.slice(a, b - a)
-                found = [ids + end for ids in encoder.encode(piece.column("_text").to_pylist())]
-                sizes, at = [len(f) // 4 for f in found], []
-                for own, size in zip(piece.column("_source").to_pylist(), sizes, strict=True):
+            first = 0
+            for count, flat, sizes in encoder.encode(batch.column("_text")):
+                piece, first = batch.slice(first, count), first + count
+                ends = np.cumsum(sizes)
+                # The end id comes behind the ids of each document.
+                ids, sizes, at = np.insert(flat, ends, end_id).astype(narrow), sizes + 1, []
+                for own, size in zip(piece.column("_source").to_pylist(), sizes.tolist(), strict=True):
                     at.append(totals.get(own, 0))
                     totals[own] = at[-1] + size
-                ids = [np.frombuffer(f, "<u4").astype(narrow).tobytes() for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("_id"), piece.column("_source"), piece.column("_run"),
-                     pa.array(at, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
+                     pa.array(at, pa.int64()), pa.array(sizes, pa.int64()), id_slices(ids, sizes)],
                     ["_id", "_source", "_run", "_at", "_n", "_ids"],
                 )
 

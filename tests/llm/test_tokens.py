@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -88,11 +89,39 @@ def test_words(words):
     encoder = tokens.WordEncoder(queries.WORD_VOCABULARY)
     texts = ODD + [t or "" for _, t in TEXTS]
     for _ in range(2):
-        assert encoder.encode(texts) == [words(t).tobytes() for t in texts]
+        assert encoded(encoder, texts) == [words(t).tobytes() for t in texts]
     with pytest.raises(ValueError, match="white space"):
         tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def encoded(encoder, texts):
+    found = []
+    for count, ids, sizes in encoder.encode(pa.array(texts, pa.string())):
+        assert count == len(sizes)
+        found += [part.tobytes() for part in np.split(ids, np.cumsum(sizes))[:-1]]
+    return found
+
+
+def test_letters_before_marks(words):
+    # Lower case of U+0130 is two characters, the second of which joins a mark.
+    encoder = tokens.WordEncoder(queries.WORD_VOCABULARY)
+    texts = [a + chr(code) + b for code in range(1, 0x180) for a in ("", "a", "Q") for b in (".", ",", "a.", ".,", "")]
+    assert encoded(encoder, texts) == [words(t).tobytes() for t in texts]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*"aAzé\u0130ıŉſ.,!'-12 \n\t\u00a0\u0301日", "'s", "'LL", "<|endoftext|>", "the", "ÀÉ", "😀"]), max_size=20))
+def test_words_of_mixes(words, parts):
+    assert encoded(tokens.word_encoder(queries.WORD_VOCABULARY), ["".join(parts)]) == [words("".join(parts)).tobytes()]
+
+
+def test_words_in_parts(words, monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK", 64)
+    encoder = tokens.WordEncoder(queries.WORD_VOCABULARY)
+    texts = ODD + [t or "" for _, t in TEXTS] + ["a b " * 40, "", "end"]
+    assert encoded(encoder, texts) == [words(t).tobytes() for t in texts]
+
+
 def check_files(rows, docs, words):
     start = 0
     for r, (i, text) in zip(sorted(rows, key=lambda r: r[1]), docs, strict=True):
