@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import gam
-from rollcall.llm.common import batches, free_name, text_of
+from rollcall.llm.common import batches, free_name, spans, text_of
 
 #: Labelled rows the model is fitted to: all up to this many, else about as many by a hash.
 FIT_ROWS = 50_000
 #: Bytes of text whose classes are computed together.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -48,15 +48,9 @@ def _sums(values, starts, ends):
     return total[ends] - total[starts]
 
 
-def _spans(inside):
-    """Starts and ends of the runs in which ``inside`` holds."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
-    return edge[::2], edge[1::2]
-
-
-def _by_text(spans, values, starts, ends):
+def _by_text(begins, values, starts, ends):
     """Sum of a value of each span, by the document its start lies in."""
-    first, last = np.searchsorted(spans, starts), np.searchsorted(spans, ends)
+    first, last = np.searchsorted(begins, starts), np.searchsorted(begins, ends)
     return _sums(values, first, last)
 
 
@@ -71,7 +65,7 @@ def features(texts: list[str]) -> np.ndarray:
     code = _CODE[buffer]
     count = {n: _sums(code == i, starts, ends) for i, n in enumerate(_NAMES)}
     chars = np.maximum(size - count["tail"], 1)
-    words, stops = _spans((code != _NAMES.index("blank")) & (code != _NAMES.index("newline")))
+    words, stops = spans((code != _NAMES.index("blank")) & (code != _NAMES.index("newline")))
     n_words = _by_text(words, np.ones(len(words)), starts, ends)
     some = np.maximum(n_words, 1)
     long = (stops - words).astype(float)
