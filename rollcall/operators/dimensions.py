@@ -1,11 +1,17 @@
 """Joins of large tables to dimensions."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Largest measured payload of a side that is sent to every executor.
 BROADCAST_BYTES = 64 << 20
 _FIELD_OVERHEAD = 16
+#: Keys that one key of a large dimension is spread over.
+SALTS = 64
+_SALT = "_salt"
 
 
 def payload_bytes(df: DataFrame) -> int:
@@ -23,14 +29,43 @@ def payload_bytes(df: DataFrame) -> int:
 def given_lookup(
     df: DataFrame, dim: DataFrame, on: list[str], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Left join to a given dimension on equally named keys; repeated dimension keys fan out.
+    """Left join to a given dimension on equally named keys; repeated dimension keys fan out."""
+    return given_lookups(df, [(dim, on)], max_bytes)
+
+
+def given_lookups(
+    df: DataFrame, dims: list[tuple[DataFrame, list[str]]], max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Left joins to given dimensions, each on equally named keys of ``df``.
+
+    A dimension, a given table that costs one short aggregate, is measured.  Up to ``max_bytes``
+    it is broadcast, and ``df`` is not shuffled.  The others are met together by ``spread_lookup``.
+    """
+    small = [(dim, on, payload_bytes(dim) <= max_bytes) for dim, on in dims]
+    for dim, on, fits in small:
+        if fits:
+            df = df.join(F.broadcast(dim), on, "left")
+    large = [(dim, on) for dim, on, fits in small if not fits]
+    return spread_lookup(df, large) if large else df
+
+
+def spread_lookup(df: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Left joins of a wide table to large dimensions, with one shuffle of its rows for all.
 
-    The dimension, a given table that costs one short aggregate, is measured.  Up to
-    ``max_bytes`` it is broadcast and ``df`` is not shuffled; beyond that see ``left_lookup``.
+    A narrow table of the distinct keys meets the dimensions one after another; then the rows
+    meet its answers once.  Keys are spread by a salt of each row's own values, so a key with
+    much of the rows is ``SALTS`` keys, none of them met by one task alone.
     """
-    if payload_bytes(dim) <= max_bytes:
-        return df.join(F.broadcast(dim), on, "left")
-    return left_lookup(df, dim, on)
+    keys = list(dict.fromkeys(k for _, on in dims for k in on))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    salted = df.withColumn(_SALT, salt)
+    met = salted.select(*keys, _SALT).distinct()
+    for dim, on in dims:
+        met = met.join(dim, on, "left")
+    answers = met.withColumnsRenamed({k: f"{_SALT}_{k}" for k in [*keys, _SALT]})
+    same = reduce(and_, (salted[k].eqNullSafe(answers[f"{_SALT}_{k}"]) for k in [*keys, _SALT]))
+    joined = salted.join(answers, same, "left")
+    return joined.drop(_SALT, *[f"{_SALT}_{k}" for k in [*keys, _SALT]])
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:

@@ -3,7 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_COPIES = "_copies"
+#: Shares by hash of a key's distinct entries; each is sorted by itself.
+SHARES = 64
+_COPIES, _SHARE = "_copies", "_share"
 
 
 def nest(
@@ -14,13 +16,28 @@ def nest(
 ) -> DataFrame:
     """One row per key with each of ``lists`` gathered, copies included, nulls left out, sorted.
 
-    ``least`` adds the smallest value of an expression in each group.  Two fixed steps, at every
+    ``least`` adds the smallest value of an expression in each group.  Three fixed steps, at every
     size: equal entries of a key are counted, with partial counts before a shuffle by key and
-    entry, so a key or an entry with much of the rows is met by many tasks; then the distinct
-    entries of each key come together with their counts, are sorted, and are written out as
-    often as they were counted.  A list is one value of one row, so the last step needs room
-    for the longest list; rows of one entry each are the operators' inputs themselves.
+    entry; the distinct entries of each key are sorted in ``SHARES`` shares by hash, each a group
+    of its own; then the sorted shares of each key are merged and every entry is written out as
+    often as it was counted.  So neither a hot key nor a hot entry is sorted, or expanded, before
+    the last step, which only merges.  A list is one value of one row: that step needs room for
+    the longest list.  Rows of one entry each are the operators' inputs themselves.
     """
+    extra = list(least or {})
+    runs = sorted_shares(df, keys, lists, least)
+    return runs.groupBy(*keys).agg(
+        *[_merged(name).alias(name) for name in lists], *[F.min(name).alias(name) for name in extra]
+    )
+
+
+def sorted_shares(
+    df: DataFrame,
+    keys: list[str],
+    lists: dict[str, Column],
+    least: dict[str, Column] | None = None,
+) -> DataFrame:
+    """For each key and share, the sorted distinct entries of each list with their counts."""
     extra = least or {}
     entries = df.select(
         *keys, *[c.alias(name) for name, c in lists.items()], *[c.alias(name) for name, c in extra.items()]
@@ -28,14 +45,22 @@ def nest(
     counted = entries.groupBy(*keys, *lists).agg(
         F.count(F.lit(1)).alias(_COPIES), *[F.min(name).alias(name) for name in extra]
     )
-    return counted.groupBy(*keys).agg(
-        *[_listed(name).alias(name) for name in lists],
-        *[F.min(name).alias(name) for name in extra],
+    share = F.pmod(F.xxhash64(*lists), F.lit(SHARES)).cast("int").alias(_SHARE)
+    return counted.groupBy(*keys, share).agg(
+        *[_sorted(name).alias(name) for name in lists], *[F.min(name).alias(name) for name in extra]
     )
 
 
-def _listed(name: str) -> Column:
-    """The sorted entries of one list, each as often as it was counted."""
+def _sorted(name: str) -> Column:
+    """The entries of a share that are not null, with their counts, in order."""
     pair = F.struct(F.col(name).alias("entry"), F.col(_COPIES).cast("int").alias("n"))
-    pairs = F.sort_array(F.collect_list(F.when(F.col(name).isNotNull(), pair)))
+    return F.sort_array(F.collect_list(F.when(F.col(name).isNotNull(), pair)))
+
+
+def _merged(name: str) -> Column:
+    """The shares of a list as one, each entry as often as it was counted.
+
+    Sorting finds the runs that are in order already and merges them.
+    """
+    pairs = F.sort_array(F.flatten(F.collect_list(name)))
     return F.flatten(F.transform(pairs, lambda x: F.array_repeat(x["entry"], x["n"])))

@@ -31,6 +31,8 @@ from rollcall.sinks.text import bulk_lines, nested_nulls
 #: Last year that counts as history in the listed catalogue.
 LAST_HISTORY_YEAR = 2016
 _KEYS = ["cd_programa", "anio"]
+#: What names a document of the nested catalogue.
+DOCUMENT_KEYS = ["cd_programa", "id_pub", "cuaps_folio", "anio"]
 
 
 def normal_numbers(catalogue: DataFrame) -> DataFrame:
@@ -135,7 +137,8 @@ def _with_defaults(matched: DataFrame, profiles: DataFrame) -> DataFrame:
 def feature_documents(features: DataFrame, index: str) -> DataFrame:
     """Bulk lines of the nested catalogue; missing texts inside nested values are nulls.
 
-    The fields that are searched by exact value have a copy ``<name>_keyword``.
+    The fields that are searched by exact value have a copy ``<name>_keyword``.  A document is
+    named by its programme, survey key, folio and year.
     """
     present = nested_nulls(features.where(F.col("cd_programa") != ""))
     copies = {
@@ -144,7 +147,7 @@ def feature_documents(features: DataFrame, index: str) -> DataFrame:
         else keyword_field(F.col(c))
         for c in KEYWORD_FIELDS
     }
-    return bulk_lines(present.withColumns(copies), index)
+    return bulk_lines(present.withColumns(copies), index, keys=DOCUMENT_KEYS)
 
 
 def missing_in_survey(features: DataFrame, keyed: DataFrame) -> DataFrame:

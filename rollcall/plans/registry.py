@@ -1,14 +1,16 @@
 """Raw registry rows -> cleaned and public tables."""
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.functions import codes, keys, person, text
 from rollcall.labels import AGE_LABELS, NO_BENEFIT, OTHER_BENEFIT
 from rollcall.operators.checks import assert_columns
-from rollcall.operators.dimensions import given_lookup
+from rollcall.operators.dimensions import given_lookup, given_lookups
 from rollcall.operators.rules import amount_rules, exclude_rule
 from rollcall.schemas import FULL_COLUMNS
 from rollcall.sources.dimensions import geography, registry_catalogue
@@ -94,18 +96,76 @@ def enrich_geography(
     return given_lookup(bare, places, ["cvemuni"], **limit)
 
 
+class LookupFigures:
+    """How the rows of each delivery year fared in the lookups, counted while they are written.
+
+    The counts are observed in the pass that writes the rows: no job is run for them.
+    """
+
+    _KEYS = {"catalogue": ["iduni", "file_year"], "geography": ["cvemuni"]}
+
+    def __init__(self, years: list[int]):
+        self.years, self._before, self._after = sorted(years), Observation(), Observation()
+
+    def _counts(self, of: str, rows: dict[str, Column]) -> list[Column]:
+        year = F.col("file_year")
+        return [
+            F.count_if((year == y) & fits).alias(f"{of} {name} {y}")
+            for name, fits in rows.items() for y in self.years
+        ]
+
+    def before(self, df: DataFrame) -> DataFrame:
+        """Rows that go into the lookups, and those without a key."""
+        null = {name: reduce(or_, (F.col(k).isNull() for k in on)) for name, on in self._KEYS.items()}
+        return df.observe(self._before, *self._counts("in", {"rows": F.lit(True)}), *self._counts("null", null))
+
+    @staticmethod
+    def marked(dim: DataFrame, name: str) -> DataFrame:
+        return dim.withColumn(f"_met_{name}", F.lit(True))
+
+    def after(self, df: DataFrame) -> DataFrame:
+        """Rows that come out, and those that have a key but no partner."""
+        lone = {
+            name: F.col(f"_met_{name}").isNull() & reduce(and_, (F.col(k).isNotNull() for k in on))
+            for name, on in self._KEYS.items()
+        }
+        seen = df.observe(self._after, *self._counts("out", {"rows": F.lit(True)}), *self._counts("lone", lone))
+        return seen.drop(*[f"_met_{name}" for name in self._KEYS])
+
+    def rows(self) -> list[tuple]:
+        """After the action: year, lookup, rows in, null keys, keys without partner, rows out."""
+        before, after = self._before.get, self._after.get
+        return [
+            (y, name, before[f"in rows {y}"], before[f"null {name} {y}"], after[f"lone {name} {y}"], after[f"out rows {y}"])
+            for y in self.years for name in self._KEYS
+        ]
+
+    def assert_unique(self) -> None:
+        """An error if a dimension repeats a key, so that rows came out more than once."""
+        more = [r[0] for r in self.rows() if r[5] > r[2]]
+        if more:
+            raise ValueError(f"lookups repeat rows of {sorted(set(more))}: a dimension has a key twice")
+
+
 def enriched_registry(
     raw: DataFrame,
     catalogue: DataFrame,
     municipalities: DataFrame,
     states: DataFrame,
     edition: Edition = CURRENT,
+    figures: LookupFigures | None = None,
+    **limit,
 ) -> DataFrame:
     """Clean, enrich, apply the amount and exclusion rules.  Keeps ``file_year``."""
-    cleaned = exclude_rule(clean_registry(raw, edition))
-    named = enrich_catalogue(cleaned, catalogue)
-    placed = enrich_geography(named, municipalities, states)
-    return amount_rules(placed)
+    bare = exclude_rule(clean_registry(raw, edition)).drop("cveent", "noment")
+    names = registry_catalogue(catalogue)
+    places = geography(municipalities, states).select("cvemuni", "cveent", "noment")
+    if figures:
+        bare, names, places = (
+            figures.before(bare), figures.marked(names, "catalogue"), figures.marked(places, "geography")
+        )
+    met = given_lookups(bare, [(names, ["iduni", "file_year"]), (places, ["cvemuni"])], **limit)
+    return amount_rules(figures.after(met) if figures else met)
 
 
 def full_table(enriched: DataFrame) -> DataFrame:

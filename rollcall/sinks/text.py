@@ -38,16 +38,43 @@ def action_line(index: str, doc_type: str = DOCUMENT_TYPE) -> str:
     return json.dumps({"index": {"_index": index, "_type": doc_type}})
 
 
-def bulk_lines(df: DataFrame, index: str, doc_type: str = DOCUMENT_TYPE) -> DataFrame:
-    """One row per document: the index action, a line break, the row as JSON."""
+def document_id(keys: list[str]) -> Column:
+    """A fixed id of the values of ``keys``, missing ones as empty texts."""
+    values = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.substring(F.sha2(F.concat_ws("\x1f", *values).cast("binary"), 256), 1, 32)
+
+
+def bulk_lines(
+    df: DataFrame, index: str, doc_type: str = DOCUMENT_TYPE, keys: list[str] | None = None
+) -> DataFrame:
+    """One row per document: the index action, a line break, the row as JSON.
+
+    With ``keys`` the action names the document by them, so that a repeated load replaces it;
+    otherwise the index gives a new name, and a repeated load doubles it.
+    """
     document = F.to_json(F.struct("*"), _KEEP_NULLS)
     action = F.lit(action_line(index, doc_type))
+    if keys:
+        action = F.concat(
+            F.lit(action_line(index, doc_type)[:-2] + ', "_id": "'), document_id(keys), F.lit('"}}')
+        )
     return df.select(F.concat_ws("\n", action, document).alias("value"))
 
 
-def write_documents(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write bulk lines as text files."""
-    lines.write.mode(mode).text(path)
+def write_documents(
+    lines: DataFrame, path: str, mode: str = "overwrite", max_bytes: int | None = None
+) -> None:
+    """Write bulk lines as text files, of at most ``max_bytes`` if that is given.
+
+    The bound holds for every file: files have as many documents as fit if all are as long as
+    the longest.  Only a document that is longer by itself has a longer file, its own.
+    """
+    writer = lines.write.mode(mode)
+    if max_bytes:
+        longest = lines.agg(F.max(F.octet_length("value"))).first()[0]
+        # A line break behind each row.
+        writer = writer.option("maxRecordsPerFile", max(1, max_bytes // ((longest or 0) + 1)))
+    writer.text(path)
 
 
 def without_missing_text(c: Column, data_type: T.DataType) -> Column:

@@ -15,6 +15,9 @@ from rollcall.schemas import (
 from workload.queries import CP1252_YEAR, FEATURE_INDEX, INDEX, SPLIT_YEAR
 from workload.views import with_views
 
+#: What names a feature document.
+FEATURE_KEYS = ["cd_programa", "id_pub", "cuaps_folio", "anio"]
+
 # --- Expressions ---
 
 
@@ -215,6 +218,13 @@ def action(index):
     return "'" + json.dumps({"index": {"_index": index, "_type": "catalogo"}}) + "' || chr(10) || "
 
 
+def named_action(index, fields):
+    """The action with an id made of the fields."""
+    start = json.dumps({"index": {"_index": index, "_type": "catalogo"}})[:-2] + ', "_id": "'
+    values = ", ".join(f"coalesce(CAST({x} AS VARCHAR), '')" for x in fields)
+    return f"'{start}' || substr(sha256(concat_ws(chr(31), {values})), 1, 32) || '\"}}}}' || chr(10) || "
+
+
 def document(fields):
     return "CAST(to_json(struct_pack(" + ", ".join(f"{n} := {x}" for n, x in fields) + ")) AS VARCHAR)"
 
@@ -590,7 +600,7 @@ def statements() -> dict[str, str]:
         "publication": PUBLICATION,
         "cleaned": f"{ENRICHED} SELECT {', '.join(FULL_COLUMNS)}, anio FROM enriched",
         "monthly_catalog": f"{MONTHLY} SELECT * FROM monthly",
-        "bulk_docs": f"{MONTHLY} SELECT {action(INDEX)}{MONTHLY_DOCUMENT} AS value FROM monthly",
+        "bulk_docs": f"{MONTHLY} SELECT {named_action(INDEX, MONTHLY_COLUMNS)}{MONTHLY_DOCUMENT} AS value FROM monthly",
         "read_raw": (
             # An empty field of a text file is a missing value.
             f"{with_views('raw_registry')} SELECT "
@@ -620,6 +630,29 @@ def statements() -> dict[str, str]:
             " CAST(sum(nuimpmonetario) AS BIGINT) AS amount FROM enriched,"
             " (VALUES ('public'), ('cleaned')) t(kind) GROUP BY kind, anio, numespago"
         ),
+        "table_published": (
+            f"{ENRICHED} SELECT kind, anio, numespago, count(*) AS rows,"
+            " CAST(sum(nuimpmonetario) AS BIGINT) AS amount FROM enriched,"
+            " (VALUES ('public'), ('cleaned')) t(kind) GROUP BY kind, anio, numespago"
+        ),
+        "catalog_refresh": f"{MONTHLY} SELECT * FROM monthly",
+        "lookup_figures": (
+            with_views("raw_registry", "programme_catalogue", "municipalities", "states") + CLEAN + GEO + NAMES
+            + f", kept AS (SELECT * FROM clean WHERE {KEPT}),"
+            " met AS (SELECT r.file_year, r.iduni, r.cvemuni, n.file_year IS NOT NULL AS named,"
+            " g.cvemuni IS NOT NULL AS placed FROM kept r"
+            " LEFT JOIN names n ON r.iduni = n.iduni AND r.file_year = n.file_year"
+            " LEFT JOIN geo g ON r.cvemuni = g.cvemuni),"
+            " came AS (SELECT file_year, count(*) AS rows_in, count_if(iduni IS NULL) AS no_id,"
+            " count_if(cvemuni IS NULL) AS no_place FROM kept GROUP BY file_year),"
+            " went AS (SELECT file_year, count(*) AS rows_out,"
+            " count_if(iduni IS NOT NULL AND NOT named) AS lone_id,"
+            " count_if(cvemuni IS NOT NULL AND NOT placed) AS lone_place FROM met GROUP BY file_year)"
+            " SELECT file_year AS anio, lookup, rows_in,"
+            " CASE lookup WHEN 'catalogue' THEN no_id ELSE no_place END AS null_keys,"
+            " CASE lookup WHEN 'catalogue' THEN lone_id ELSE lone_place END AS unmatched, rows_out"
+            " FROM came JOIN went USING (file_year), (VALUES ('catalogue'), ('geography')) t(lookup)"
+        ),
         "append_rows": PUBLICATION,
         "stream_ingest": (
             f"SELECT * REPLACE (nbprograma || CASE WHEN anio = {CP1252_YEAR} THEN ' ñ€' ELSE ' ' END"
@@ -717,7 +750,7 @@ def statements() -> dict[str, str]:
         ),
         "catalog_features": f"{NESTED} SELECT {nested_columns} FROM features",
         "feature_docs": (
-            f"{NESTED} SELECT {action(FEATURE_INDEX)}{FEATURE_DOCUMENT} AS value FROM features"
+            f"{NESTED} SELECT {named_action(FEATURE_INDEX, FEATURE_KEYS)}{FEATURE_DOCUMENT} AS value FROM features"
             " WHERE cd_programa <> ''"
         ),
         "catalog_csv": (

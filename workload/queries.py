@@ -1,5 +1,7 @@
 """The registered queries: ``name -> (spark, sf_dir) -> DataFrame``."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,17 @@ from rollcall.schemas import (
     RAW_COLUMNS,
 )
 from rollcall.scratch import materialised, scratch_folder
-from rollcall.sinks.tables import published, register_table, write_partitioned, write_years
+from rollcall.sinks.tables import (
+    publish_years,
+    published,
+    published_figures,
+    refresh_published,
+    register_published,
+    register_table,
+    write_figures,
+    write_partitioned,
+    write_years,
+)
 from rollcall.sinks.text import as_text, write_pipe_csv
 from rollcall.sources import dimensions as dims
 from rollcall.sources import files
@@ -342,10 +354,10 @@ def read_raw(spark, sf_dir):
 
 @query
 def read_raw_gz(spark, sf_dir):
-    """The same through compressed files."""
+    """The same through compressed files, unpacked so that many tasks read on."""
     folder = scratch_folder(spark, "deliveries")
     path = write_deliveries(_raw(spark, sf_dir), folder, compression="gzip")
-    return files.read_registry(spark, path).select(*RAW_COLUMNS, "file_year")
+    return files.split_compressed(files.read_registry(spark, path)).select(*RAW_COLUMNS, "file_year")
 
 
 @query
@@ -403,6 +415,19 @@ def append_rows(spark, sf_dir):
     return spark.read.parquet(root)
 
 
+def _months(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and amounts by month of some tables."""
+    sums = [
+        materialised(
+            df.groupBy(F.lit(kind).alias("kind"), "anio", "numespago")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("nuimpmonetario").alias("amount")),
+            "months",
+        )
+        for kind, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, sums)
+
+
 @query
 def table_register(spark, sf_dir):
     """Rows and amounts by month in both external tables, which are dropped again."""
@@ -410,17 +435,70 @@ def table_register(spark, sf_dir):
     full = registry.with_partition_year(_enriched(spark, sf_dir), FULL_COLUMNS)
     write_years(full, full_root, public_root)
     year = [f for f in full.schema if f.name == "anio"]
-    sums = []
-    for kind, fields, root in (("public", PUBLIC_SCHEMA, public_root), ("cleaned", FULL_SCHEMA, full_root)):
-        name = f"{kind}_{root.rsplit('-', 1)[1]}"
-        by_month = (
-            register_table(spark, name, fields.fields + year, root)
-            .groupBy(F.lit(kind).alias("kind"), "anio", "numespago")
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum("nuimpmonetario").alias("amount"))
-        )
-        sums.append(materialised(by_month, "months"))
+    names = {kind: f"{kind}_{public_root.rsplit('-', 1)[1]}" for kind in ("public", "cleaned")}
+    found = _months({
+        "public": register_table(spark, names["public"], PUBLIC_SCHEMA.fields + year, public_root),
+        "cleaned": register_table(spark, names["cleaned"], FULL_SCHEMA.fields + year, full_root),
+    })
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def _published_twice(spark, sf_dir, between=lambda *_: None):
+    """Roots of both tables: all years with half of their rows, then the even years whole, last
+    the odd ones.  ``between`` is called with the roots and the years after each."""
+    full_root, public_root = scratch_folder(spark, "full"), scratch_folder(spark, "public")
+    rows = materialised(registry.with_partition_year(_enriched(spark, sf_dir), FULL_COLUMNS), "enriched")
+    years = sorted(r.anio for r in rows.select("anio").distinct().collect())
+    half = rows.where(c("newid") % 2 == 0)
+    for df, some in ((half, years), (rows, [y for y in years if y % 2 == 0]), (rows, [y for y in years if y % 2])):
+        publish_years(df.where(c("anio").isin(some)), full_root, public_root, some)
+        between(full_root, public_root, some)
+    return full_root, public_root
+
+
+@query
+def table_published(spark, sf_dir):
+    """The same by month, from external tables over years that were published twice."""
+    names = {}
+
+    def follow(full_root, public_root, years):
+        for kind, root, schema in (("public", public_root, PUBLIC_SCHEMA), ("cleaned", full_root, FULL_SCHEMA)):
+            if kind in names:
+                refresh_published(spark, names[kind], root, public_root, years)
+            else:
+                names[kind] = f"{kind}_{public_root.rsplit('-', 1)[1]}"
+                register_published(spark, names[kind], schema, root, public_root)
+
+    _published_twice(spark, sf_dir, follow)
+    found = _months({kind: spark.table(name) for kind, name in names.items()})
+    for name in names.values():
         spark.sql(f"DROP TABLE {name}")
-    return sums[0].unionByName(sums[1])
+    return found
+
+
+@query
+def catalog_refresh(spark, sf_dir):
+    """The monthly catalogue kept by years, each made anew when its year was published."""
+    root = scratch_folder(spark, "catalogue")
+    _published_twice(
+        spark, sf_dir, lambda _, public_root, years: monthly.refresh_catalog(spark, public_root, root, years)
+    )
+    return monthly.kept_catalog(spark, root)
+
+
+@query
+def lookup_figures(spark, sf_dir):
+    """How the rows of each year fared in the lookups, counted while they were published."""
+    full_root, public_root = scratch_folder(spark, "full"), scratch_folder(spark, "public")
+    years = [r.file_year for r in _raw(spark, sf_dir).select("file_year").distinct().collect()]
+    figures = registry.LookupFigures(years)
+    enriched = registry.enriched_registry(_raw(spark, sf_dir), *_dimensions(spark, sf_dir), figures=figures)
+    full = registry.with_partition_year(enriched, FULL_COLUMNS)
+    version = publish_years(full, full_root, public_root, years)
+    write_figures(spark, public_root, version, figures.rows())
+    return published_figures(spark, public_root)
 
 
 @query
