@@ -1,6 +1,7 @@
 """Collocations: exact phrase counts from depth-truncated suffix subtrees, one group at a time."""
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,11 @@ BUDGET = 1 << 20
 EXTENDED = 1 << 20
 #: Most cells of the histogram of hashes by which prefixes are grouped.
 MOST_CELLS = 1 << 20
-#: Bits of the filter of frequent words.
+#: Pairs of words are counted by this many bits of their hash, in parts of so much text each.
+PAIR_BITS, PART_BYTES, MOST_PARTS = 44, 64 << 20, 1 << 16
+#: Pairs that a task counts before they travel.
+PAIRS = 2 << 20
+#: Bits of the filter of frequent pairs.
 FILTER_BITS = 1 << 26
 #: Bytes of text that are cut together.
 CHUNK = 2 << 20
@@ -107,11 +112,24 @@ class Cut:
         """The hash of each place's first word in its language."""
         return _mixed(self.hash[self.lang], self.hash[self.word])
 
-    def broken(self, frequent: np.ndarray):
-        """``left`` as it is if words that are not frequent end a piece; 0 at those."""
-        slot = self.first() % np.uint64(FILTER_BITS)
-        kept = (frequent[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return np.minimum(self.left, _ahead(~kept))
+    def pair(self, place):
+        """The hash of the two words from each place on, cut to ``PAIR_BITS`` bits."""
+        state = _mixed(self.first()[place], self.hash[self.word[place + 1]])
+        return state >> np.uint64(64 - PAIR_BITS) << np.uint64(64 - PAIR_BITS)
+
+    def linked(self, frequent: np.ndarray):
+        """``left`` if rare pairs end pieces too: words from a place on whose pairs are frequent."""
+        place = np.flatnonzero(self.left > 1)
+        slot = _slot(self.pair(place))
+        known = (frequent[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        broken = np.ones(len(self.word), dtype=bool)
+        broken[place[known]] = False
+        return _ahead(broken) + 1
+
+
+def _slot(pair: np.ndarray) -> np.ndarray:
+    """The place of a pair in the filter: the lowest bits of its hash that are kept."""
+    return (pair >> np.uint64(64 - PAIR_BITS)) % np.uint64(FILTER_BITS)
 
 
 def _ahead(marked: np.ndarray) -> np.ndarray:
@@ -130,20 +148,20 @@ def _mixed(state, value):
 
 
 class Front:
-    """The prefixes that groups are made of: words, and longer ones where shorter are too many."""
+    """The prefixes that groups are made of: two words, and more where those are too many."""
 
     def __init__(self, frequent: np.ndarray):
         self.frequent = frequent
-        #: By length, the sorted hashes of the prefixes that are extended.
+        #: From two words on, the sorted hashes of the prefixes that are extended.
         self.extended: list[np.ndarray] = []
 
     def routes(self, cut: Cut):
         """Places of suffixes, their lengths, the hash and length of the prefix each belongs to."""
-        left = np.minimum(cut.broken(self.frequent), WORDS)
-        place = np.flatnonzero(cut.owned & (left > 0))
-        left, state = left[place], cut.first()[place]
-        depth = np.ones(len(place), dtype=np.int32)
-        for length, known in enumerate(self.extended, 1):
+        left = np.minimum(cut.linked(self.frequent), WORDS)
+        place = np.flatnonzero(cut.owned & (left > 1))
+        left, state = left[place], cut.pair(place)
+        depth = np.full(len(place), 2, dtype=np.int32)
+        for length, known in enumerate(self.extended, 2):
             at = np.minimum(np.searchsorted(known, state), len(known) - 1)
             more = (depth == length) & (known[at] == state)
             depth[more] += 1
@@ -188,52 +206,112 @@ def _joined(dictionary, numbers: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(offsets, dictionary.take(pa.array(numbers))), " ")
 
 
-def _counted(front: Front | None, depth: int):
+def _words(batches):
+    """Counts of the words of each language, per some texts."""
+    for part in _gathered(batches):
+        cut = Cut(*part)
+        pair = cut.lang[cut.owned].astype(np.int64) * len(cut.dictionary) + cut.word[cut.owned]
+        used, n = np.unique(pair, return_counts=True)
+        take = lambda numbers: cut.dictionary.take(pa.array(numbers))  # noqa: E731, B023
+        yield pa.RecordBatch.from_arrays(
+            [take(used // len(cut.dictionary)), take(used % len(cut.dictionary)), pa.array(n)],
+            ["lang", "phrase", "n"],
+        )
+
+
+def _pairs(part_bits: int):
+    """Hashes and counts of the pairs of ``PAIRS`` places at a time, by the first bits."""
+
+    def counted(held):
+        used, n = np.unique(np.concatenate(held), return_counts=True)
+        part = (used >> np.uint64(64 - part_bits)).astype(np.int32)
+        first = _runs(part[:, None])
+        bounds = np.append(first, len(part))
+        low = (used >> np.uint64(64 - PAIR_BITS)) & np.uint64((1 << 32) - 1)
+        # Counts are bytes; what is more comes again.
+        full = n // 255
+        again = np.repeat(np.arange(len(n)), full)
+        for numbers, counts in ((np.arange(len(n)), n % 255), (again, np.full(len(again), 255))):
+            kept = numbers[counts > 0]
+            at = np.searchsorted(kept, bounds)
+            some = np.flatnonzero(np.diff(at))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part[first[some]]),
+                    _slices(low[kept].astype("<u4"), at).take(pa.array(some)),
+                    _slices(counts[counts > 0].astype(np.uint8), at).take(pa.array(some)),
+                ],
+                ["part", "pairs", "n"],
+            )
+
+    def read(batches):
+        held, size = [], 0
+        for part in _gathered(batches):
+            cut = Cut(*part)
+            held.append(cut.pair(np.flatnonzero(cut.owned & (cut.left > 1))))
+            size += len(held[-1])
+            if size >= PAIRS:
+                yield from counted(held)
+                held, size = [], 0
+        if size:
+            yield from counted(held)
+
+    return read
+
+
+def _frequent(part_bits: int, least: int):
+    """The pairs of a part whose counts add up to ``least`` or more."""
+
+    def read(table: pa.Table) -> pa.Table:
+        pairs = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table.column("pairs")])
+        n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("n")])
+        order = np.argsort(pairs, kind="stable")
+        pairs, first = pairs[order], None
+        first = _runs(pairs[:, None])
+        total = np.add.reduceat(n[order].astype(np.int64), first) if len(first) else n.astype(np.int64)
+        kept = total >= least
+        # The first bits, which name the part, may overlap with those that are kept.
+        part = np.uint64(table.column("part")[0].as_py())
+        high = part << np.uint64(PAIR_BITS - part_bits)
+        value = (high >> np.uint64(32) << np.uint64(32)) | pairs[first][kept].astype(np.uint64)
+        state = value << np.uint64(64 - PAIR_BITS)
+        return pa.table({"hash": state.view(np.int64), "slot": _slot(state).view(np.int64), "n": total[kept]})
+
+    return read
+
+
+def _extended(front: Front, depth: int):
     """Counts, per some texts, of the prefixes of ``depth`` words whose shorter ones are extended."""
 
     def counted(batches):
         for part in _gathered(batches):
             cut = Cut(*part)
-            if front is None:
-                place, state = np.flatnonzero(cut.owned), cut.first()
-                left, state = np.ones(len(place), dtype=np.int32), state[place]
-            else:
-                place, left, state, at = front.routes(cut)
-                here = at == depth
-                place, left, state = place[here], left[here], state[here]
+            place, left, state, at = front.routes(cut)
+            here = at == depth
+            place, left, state = place[here], left[here], state[here]
             rows = _sequences(cut, place, left, depth)
             order = _order(rows, len(cut.dictionary))
             rows, state = rows[order], state[order]
             first = _runs(rows)
             used = rows[first, 1:]
+            text = lambda part: _joined(cut.dictionary, part[part != _END], (part != _END).sum(axis=1))  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
                 [
                     cut.dictionary.take(pa.array(rows[first, 0])),
-                    _joined(cut.dictionary, used[used != _END], (used != _END).sum(axis=1)),
+                    text(used), text(used[:, :-1]),
                     pa.array(used[:, -1] != _END),
                     pa.array(state[first].view(np.int64)),
                     pa.array(np.diff(np.append(first, len(rows)))),
                 ],
-                ["lang", "phrase", "whole", "hash", "n"],
+                ["lang", "phrase", "above", "whole", "hash", "n"],
             )
 
     return counted
 
 
-def _level(rows: DataFrame, front: Front | None, depth: int) -> DataFrame:
-    found = rows.mapInArrow(
-        _counted(front, depth), "lang string, phrase string, whole boolean, hash bigint, n bigint"
-    )
-    return stored(
-        found.groupBy("lang", "phrase", "whole", "hash").agg(F.sum("n").alias("n")), f"prefixes-{depth}"
-    )
-
-
-def _bits(words: DataFrame, least: int) -> np.ndarray:
-    """A filter that holds every frequent word; it has one size, others may pass it."""
-    slot = words.where(F.col("n") >= least).select(F.pmod("hash", F.lit(FILTER_BITS)).alias("slot"))
-    # The remainder of the signed hash is that of the unsigned one: the size divides 2**64.
-    cells = slot.groupBy(F.floor(F.col("slot") / 32768).alias("cell")).agg(
+def _bits(pairs: DataFrame) -> np.ndarray:
+    """A filter that holds every frequent pair; it has one size, others may pass it."""
+    cells = pairs.groupBy(F.floor(F.col("slot") / 32768).alias("cell")).agg(
         F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")
     )
     found = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
@@ -384,52 +462,66 @@ def phrase_counts(
     """The phrases of 1 to 5 words with ``least`` or more occurrences (``lang``, ``phrase``,
     ``words``, ``n``), and the number of all words of each language (``lang``, ``n``).
 
-    First, words are counted.  A word that has more suffixes than the ``budget`` is extended by
-    the words behind it, and so on, one scan for each length, until every prefix fits; prefixes
-    are put into groups of about the budget by ranges of their hash.  Then each suffix (the five
-    words from a place on, less at the end of a piece) goes to the group of its prefix, equal
-    ones once per some megabytes of text, and every group builds its subtrees by itself.
+    A phrase is as frequent as its pairs of words at least, so pairs are counted first, by hash:
+    a pair with fewer occurrences than ``least`` ends a piece.  A filter of fixed size tells
+    those pairs, and what passes it wrongly only costs time.
 
-    A word with fewer occurrences than ``least`` is in no phrase, so it ends a piece; a filter
-    of fixed size tells those words, and what passes it wrongly only costs time.
+    Then prefixes are found by their numbers of suffixes: frequent pairs, and those that have
+    more than the ``budget`` extended by the word behind them, and so on, one scan for each
+    length, until every prefix fits.  Prefixes are put into groups of about the budget by ranges
+    of their hash.  Each suffix (the five words from a place on, less at the end of a piece) goes
+    to the group of its prefix, equal ones once per some megabytes of text, and every group
+    builds its subtrees by itself.
     """
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("_lang"), text_of(text).alias("_text")
     )
-    words = _level(rows, None, 1)
+    words = stored(
+        rows.mapInArrow(_words, "lang string, phrase string, n bigint")
+        .groupBy("lang", "phrase").agg(F.sum("n").alias("n")),
+        "words",
+    )
     totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "words-of-languages")
     total = totals.agg(F.sum("n")).first()[0] or 0
     limit = max(budget, total // EXTENDED)
-    front = Front(_bits(words, least))
-    prefixes, nodes = words.where(F.col("n") >= least), [_nodes(words, 1, least)]
-    level = words
-    for depth in range(1, WORDS):
+    # About six bytes of text a word.
+    part_bits = max(12, min(MOST_PARTS, 6 * total // PART_BYTES).bit_length())
+    pairs = rows.mapInArrow(_pairs(part_bits), "part int, pairs binary, n binary")
+    pairs = stored(
+        pairs.groupBy("part").applyInArrow(_frequent(part_bits, least), "hash bigint, slot bigint, n bigint"),
+        "pairs",
+    )
+    front = Front(_bits(pairs))
+    prefixes, level, nodes = pairs.select("hash", "n"), pairs, [_nodes(words, "phrase", 1, least)]
+    for length in range(2, WORDS):
         # Fewer than total / limit: their counts add up to the total at most.
-        hashes = level.where((F.col("n") > limit) & F.col("whole")).select("hash").toArrow()
+        hashes = level.where(F.col("n") > limit).select("hash").toArrow()
         if not hashes.num_rows:
             break
         front.extended.append(np.unique(hashes.column("hash").to_numpy().view(np.uint64)))
-        level = _level(rows, front, depth + 1)
-        prefixes = prefixes.unionByName(level)
-        if depth + 1 < WORDS:
-            nodes.append(_nodes(level, depth + 1, least).where(F.col("n") > limit))
+        found = rows.mapInArrow(
+            _extended(front, length + 1),
+            "lang string, phrase string, above string, whole boolean, hash bigint, n bigint",
+        )
+        keys = ["lang", "phrase", "above", "whole", "hash"]
+        level = stored(found.groupBy(*keys).agg(F.sum("n").alias("n")), f"prefixes-{length + 1}")
+        prefixes = prefixes.unionByName(level.select("hash", "n"))
+        # What goes on from an extended prefix, or ends with it, adds up to it.
+        nodes.append(_nodes(level.groupBy("lang", "above").agg(F.sum("n").alias("n")), "above", length, least))
+        level = level.where("whole")
     groups = Groups(prefixes.where(F.col("n") <= limit), total, budget)
     dealt = rows.mapInArrow(
         _dealt(front, groups), "group bigint, words array<string>, wide int, ids binary, n binary, depth binary"
     )
     read = _subtrees(least)
     found = dealt.groupBy("group").applyInArrow(read, "lang string, phrase string, words int, n bigint")
-    nodes.append(found)
-    counted = nodes[0]
-    for more in nodes[1:]:
-        counted = counted.unionByName(more)
-    return stored(counted, "phrases"), totals
+    return stored(reduce(DataFrame.unionByName, [*nodes, found]), "phrases"), totals
 
 
-def _nodes(level: DataFrame, length: int, least: int) -> DataFrame:
-    """The frequent prefixes of a length, as phrases."""
-    return level.where(F.col("whole") & (F.col("n") >= least)).select(
-        "lang", "phrase", F.lit(length).alias("words"), "n"
+def _nodes(counts: DataFrame, phrase: str, length: int, least: int) -> DataFrame:
+    """The frequent ones of counted prefixes of a length, as phrases."""
+    return counts.where(F.col("n") >= least).select(
+        "lang", F.col(phrase).alias("phrase"), F.lit(length).alias("words"), "n"
     )
 
 
