@@ -15,7 +15,9 @@ EXAMPLE_KEY = "example key, to be replaced"
 # The formats in which personal data are looked for.  What a pattern can check is
 # checked in it, so that a candidate that fails does not consume its text.
 _LOCAL = r"[A-Za-z0-9._%+-]"
-_DOMAIN = r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+# A domain has labels of at most 63 letters, 127 of them: repeats of groups are bounded
+# everywhere, because the matcher descends once for each and would run out of stack.
+_DOMAIN = r"@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,}"
 EMAIL = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+{_DOMAIN}"
 #: An address at the end of a longer run, and what tells that a text may have one.
 LATE_EMAIL, LONG_RUN = rf"(?<={_LOCAL}){_LOCAL}{{64}}{_DOMAIN}", rf"(?<!{_LOCAL}){_LOCAL}{{65,}}+@"
@@ -454,7 +456,9 @@ def pseudonymised(
     length or the check says, and a phone number before a date or another number (see
     ``phone_pattern``).  The value of a valid one is permuted by the key within its format, so
     equal values are equal everywhere, different ones differ, and checks still hold.  Null
-    texts count as empty; repeated rows and null ids stay as they are.
+    texts count as empty; repeated rows and null ids stay as they are, ids of any type.  Texts
+    of any length are read whole: each pattern repeats groups a bounded number of times.  A
+    table without rows gives none; other columns, whatever their names, do not matter.
     """
     body = text_of(text)
     none = F.array().cast("array<string>")

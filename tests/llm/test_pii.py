@@ -187,3 +187,21 @@ def test_awkward(awkward, nothing):
     texts = {i: t for i, t in TEXTS}
     assert all(r.text == texts[r.doc_id] for r in rows if r.doc_id in (1, 9, 11, 13))
     assert pii.pseudonymised(nothing, KEY).collect() == []
+
+
+def test_long_runs(spark):
+    # Domains, digits, dots, dashes and groups of any length end no task.
+    many = 100_000
+    mail = "Hein.19@mail5.example.com"
+    runs = [
+        "x@" + "a." * many + "com", "x@" + "a-" * many + ".com", "x@" + "ab." * many + "com", "1" * many, "." * many,
+        "-" * many, "1." * many, "1-" * many, "1 " * many, "+49 " + "1 " * many, "AB12 " + "CD34 " * many,
+        "AB12" + "X9" * many, "a" * many + "@b.co", "2024-05-0" * many, "+" * many, "(" * many, "@" * many,
+    ]
+    rows = made(spark, [f"{run} ;; {mail}" for run in runs] + [mail])
+    new = rows[len(runs)].text
+    assert new != mail
+    for i, run in enumerate(runs):
+        assert rows[i].text.endswith(f" ;; {new}")
+        assert len(rows[i].text) == len(run) + 4 + len(mail)
+    assert [rows[i].text[: len(runs[i])] == runs[i] for i in (4, 5, 14, 15, 16)] == [True] * 5
