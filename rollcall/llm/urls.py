@@ -1,12 +1,12 @@
-"""URL filters: a sorted sweep of page keys over the intervals of host and path rules."""
+"""URL filters: sorted sweeps of host and path keys over the intervals of nested rules."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-#: Rules on one host whose hosts are sent to every executor; more are met by a shuffle.
-BROADCAST_HOSTS = 10_000
+from rollcall.llm.common import met_by_run, run_number, stored
+
 #: Page keys of one host that a sweep takes together; hotter hosts are cut by a hash.
 SWEEP_ROWS = 200_000
 RULES = T.StructType(
@@ -29,15 +29,55 @@ def path_of(url: str) -> Column:
 
 
 def reversed_host(host: str) -> Column:
-    """``m.example.net`` as ``net.example.m``: a host and its subdomains share a prefix."""
-    return F.array_join(F.reverse(F.split(host, r"\.")), ".")
+    """``m.example.net`` as ``net.example.m.``: a host's key begins those of its subdomains."""
+    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("."))
 
 
-def _host_keys(host: str) -> Column:
-    """The reversed host cut after each label: the keys of the hosts whose rules reach it."""
-    labels = F.split(reversed_host(host), r"\.")
+def _outer_keys(key: str) -> Column:
+    """A key cut after each label, the shortest first: the hosts around it, and itself."""
+    labels = F.split(key, r"\.")
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, 1, i), ".")
+        F.sequence(F.lit(1), F.size(labels) - 1),
+        lambda i: F.concat(F.array_join(F.slice(labels, 1, i), "."), F.lit(".")),
+    )
+
+
+def rules_over(hosts: DataFrame, rule_hosts: DataFrame) -> DataFrame:
+    """``_host`` and ``_keys``: for each host key the rule hosts it lies under, itself included.
+
+    ``hosts`` and ``rule_hosts`` have distinct keys.  A rule's host opens an interval, from its
+    key to the last key that begins with it.  Rules and hosts are put in one order by ranges and
+    swept: the interval opened last carries the stack of the intervals around it, and of those a
+    host lies in the ones its key begins with.  Each range begins with the stack that the ranges
+    before left open, which is one row for each of them.
+    """
+    around = rule_hosts.select("_key", F.explode(_outer_keys("_key")).alias("_outer"))
+    known = rule_hosts.select(F.col("_key").alias("_outer"))
+    opened = around.join(known, "_outer").groupBy("_key").agg(F.sort_array(F.collect_list("_outer")).alias("_stack"))
+    events = opened.select(F.col("_key").alias("_at"), F.lit(0).alias("_kind"), "_stack").unionByName(
+        hosts.select(
+            F.col("_host").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("array<string>").alias("_stack")
+        )
+    )
+    ranged = stored(
+        events.repartitionByRange("_at", "_kind").withColumn("_part", F.spark_partition_id()), "host-sweep"
+    )
+    last = {
+        r._part: r.stack
+        for r in ranged.groupBy("_part").agg(F.max_by("_stack", F.when(F.col("_kind") == 0, F.col("_at"))).alias("stack")).collect()
+    }
+    carried, open_ = [], None
+    for part in sorted(last):
+        carried.append((part, open_))
+        open_ = last[part] or open_
+    left_open = ranged.sparkSession.createDataFrame(carried, "_part int, _open array<string>")
+    sweep = W.partitionBy("_part").orderBy("_at", "_kind")
+    swept = ranged.join(F.broadcast(left_open), "_part").withColumn(
+        "_active", F.coalesce(F.last("_stack", ignorenulls=True).over(sweep), F.col("_open"))
+    )
+    inside = F.filter("_active", lambda key: F.startswith(F.col("_at"), key))
+    return swept.where((F.col("_kind") == 1) & (F.size(inside) > 0)).select(
+        F.col("_at").alias("_host"), inside.alias("_keys")
     )
 
 
@@ -89,26 +129,29 @@ def judged(
     have an empty host and path.  Repeated pages and null ids come as often as they are given;
     no pages give an empty result, no rules the default for all.
 
-    Each host key of a page under which rules exist meets their intervals in one sweep sorted
-    by path: the rule opened last carries the stack of active rules, and the first of them
-    still open at the page's path is the innermost one.  Hosts with many pages are cut into
-    slices by a hash, each swept over the same few rules.
+    One sweep over the reversed hosts finds the rule hosts around each page's; then each of
+    these meets its rules' paths in a sweep sorted by path: the rule opened last carries the
+    stack of active rules, and the first of them still open at the page's path is the innermost
+    one.  Hosts with many pages are cut into slices by a hash, each swept over the same few
+    rules, and meet their rule hosts once per run of the input.
+    Urls of any length are read whole; other columns, whatever their names, do not matter.
     """
     flat = pages.select(
         F.col(id_column).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path")
     )
     page = ["_id", "host", "path"]
-    distinct = flat.groupBy(*page).agg(F.count(F.lit(1)).alias("_n"))
-    stacks = nested_rules(rules)
-    hosts = stacks.select("_key").distinct()
-    few = hosts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    hosts = F.broadcast(hosts) if few else hosts
-    keyed = distinct.select(*page, F.explode(_host_keys("host")).alias("_key")).join(hosts, "_key")
+    distinct = stored(
+        flat.groupBy(*page).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns({"_host": reversed_host("host"), "_run": run_number()}),
+        "page-keys",
+    )
+    stacks = stored(nested_rules(rules), "rules")
+    over = rules_over(distinct.select("_host").distinct(), stacks.select("_key").distinct())
+    met = met_by_run(distinct, over, ["_host"])
+    keyed = met.select(*page, F.explode("_keys").alias("_key"))
     slices = keyed.groupBy("_key").agg(
         F.ceil(F.count(F.lit(1)) / sweep_rows).cast("int").alias("_slices")
     )
-    if few:
-        slices = F.broadcast(slices)
     swept_pages = keyed.join(slices, "_key").select(
         "_key", F.pmod(F.xxhash64(*page), F.col("_slices")).cast("int").alias("_slice"),
         F.col("path").alias("_path"), F.lit(1).alias("_kind"), *page,

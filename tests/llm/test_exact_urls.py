@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import exact, queries, urls
 from tests.compare import difference, duckdb_tables
@@ -46,6 +47,23 @@ def test_awkward_groups(awkward, fan_in):
     assert set(kept.values()) == {1}
 
 
+def test_runs_merge_in_order(spark):
+    """A round is one exchange, behind which sorted entries are merged; the result is sorted."""
+    df = spark.range(4000, numPartitions=40).selectExpr("id AS doc_id", "concat('t', id % 900) AS text")
+    rows = exact.digest_rows(df, "doc_id", "text", F.col("doc_id"))
+    leaves = exact.sorted_runs(rows, 40)
+    level = exact.merge_round(leaves, 16)
+    text = level._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" in text and "HashAggregate" not in text
+    assert text.index("SortAggregate") < text.index("Sort [") < text.index("Exchange hashpartitioning")
+    parts = level.withColumn("part", F.spark_partition_id()).collect()
+    for part in {r.part for r in parts}:
+        keys = [(r._run, r._slice, r._digest) for r in parts if r.part == part]
+        assert keys == sorted(keys)
+    assert {r._run for r in parts} == {0, 1, 2}
+    assert exact.merged_runs(leaves, 40).count() == 900
+
+
 def test_one_text_holds_most_rows(spark):
     df = spark.range(4000, numPartitions=40).selectExpr(
         "id AS doc_id", "IF(id % 3 = 0, 'hot', concat('t', id)) AS text"
@@ -75,9 +93,29 @@ def brute_verdict(url, rules):
     return host, path, best[2], best[3]
 
 
-@pytest.mark.parametrize("broadcast", [10_000, 0])
-def test_rules_against_brute_force(spark, broadcast, monkeypatch):
-    monkeypatch.setattr(urls, "BROADCAST_HOSTS", broadcast)
+@pytest.fixture(params=["true", "false"])
+def ranges(spark, request):
+    """Hosts in one range, or in as many as there are shuffle partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, before)
+
+
+def test_hosts_under_rules(spark, ranges):
+    rnd = random.Random(5)
+    name = lambda n: ".".join(rnd.choice("abcde") for _ in range(rnd.randint(1, n))) + "."
+    rules, hosts = {name(3) for _ in range(25)}, {name(5) for _ in range(400)} | {"."}
+    found = urls.rules_over(
+        spark.createDataFrame([(h,) for h in hosts], "_host string"),
+        spark.createDataFrame([(r,) for r in rules], "_key string"),
+    )
+    want = {h: sorted(r for r in rules if h.startswith(r)) for h in hosts}
+    assert {r._host: sorted(r._keys) for r in found.collect()} == {h: k for h, k in want.items() if k}
+
+
+def test_rules_against_brute_force(spark, ranges):
     rnd = random.Random(3)
     labels, steps = ["a", "b", "net", "org", "example"], ["", "en", "en/x", "de", "en/x/y"]
     host = lambda: ".".join(rnd.choice(labels) for _ in range(rnd.randint(1, 4)))
