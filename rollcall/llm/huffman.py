@@ -136,10 +136,10 @@ class Coder:
 def _raw_blocks(docs: DataFrame, id_column: str, text: str, vocabulary: str, end_id: int) -> DataFrame:
     """Tokenised documents in ascending order of id, gathered into blocks of raw ids."""
     narrow = docs.select(F.col(id_column).cast("bigint").alias("_id"), text_of(text).alias("_text"))
-    bounds = part_bounds(narrow, "_id")
+    bounds = part_bounds(narrow, "_id", "_text")
     dealt = (
         narrow.withColumn("_part", part_column("_id", bounds))
-        .repartition("_part")
+        .repartitionById(max(1, len(bounds)), F.col("_part"))
         .sortWithinPartitions("_part", F.col("_id").asc_nulls_last(), "_text")
     )
 

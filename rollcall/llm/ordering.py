@@ -5,26 +5,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most parts; their lower bounds travel with the tasks.
-MOST_PARTS = 20_000
+#: Bytes of text of a part.
+PART_BYTES = 32 << 20
+#: Most parts; their lower bounds travel with the tasks.  Only beyond so many do parts grow.
+MOST_PARTS = 100_000
 
 
-def part_bounds(df: DataFrame, id_column: str, parts: int | None = None) -> list[int]:
+def part_bounds(
+    df: DataFrame, id_column: str, text: str, parts: int | None = None, part_bytes: int = PART_BYTES
+) -> list[int]:
     """Ids that cut the table into about equal parts; the first is the smallest.
 
-    Only the id column is read.  Unless given, there are twice as many parts as shuffle
-    partitions, which the cluster sets by its data.  No ids give no bounds.
+    Unless given, the number of parts is that of the table's bytes over ``part_bytes``, whatever
+    the session's settings: a part is as large in a large table as in a small one.  The cuts are
+    quantiles of the ids, for which only these are read.  No ids give no bounds.
     """
-    spark = df.sparkSession
-    wanted = parts or min(MOST_PARTS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / wanted for i in range(1, wanted)]
     found = df.agg(
-        F.min(id_column).alias("low"),
-        F.percentile_approx(id_column, shares, max(10_000, 20 * wanted)).alias("cuts"),
+        F.min(id_column).alias("low"), F.sum(F.octet_length(text) + 16).alias("bytes")
     ).first()
     if found.low is None:
         return []
-    return sorted({int(found.low), *map(int, found.cuts or [])})
+    wanted = parts or min(MOST_PARTS, found.bytes // part_bytes + 1)
+    shares = [i / wanted for i in range(1, wanted)]
+    cuts = df.agg(F.percentile_approx(id_column, shares, max(10_000, 10 * wanted))).first()[0] if shares else []
+    return sorted({int(found.low), *map(int, cuts or [])})
 
 
 def part_column(id_column: str, bounds: list[int]) -> Column:

@@ -196,14 +196,15 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     first ones of the next document by ascending id, or all it has; after the last comes the
     first.  Rows of one id are ordered by their texts, null ids come last.  Null and empty
     texts are equal: their edited text is empty too.  A single document is its own next; an
-    empty table gives an empty result.
+    empty table gives an empty result.  Ids are whole numbers.  Texts of any length are read
+    whole; one task holds two at a time.  Other columns, whatever their names, do not matter.
 
     Documents are cut into parts by id, each with a copy of the row the next part begins with,
     so that texts are shuffled once and every part is read in order by itself.
     """
     kind = dict(docs.dtypes)[id_column]
     rows = docs.select(F.col(id_column).alias("_id"), text_of(text).alias("_text"))
-    bounds = part_bounds(rows, "_id") or [0]
+    bounds = part_bounds(rows, "_id", "_text") or [0]
     last = len(bounds) - 1
     starts = F.col("_id").isin(bounds[1:]) if last else F.lit(False)
     own = F.struct(F.col("_part").alias("part"), F.lit(0).alias("ahead"))
@@ -220,7 +221,7 @@ def compared(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     dealt = (
         placed.withColumn("_place", F.explode(places))
         .select("_place.part", "_place.ahead", "_id", "_text")
-        .repartition("part")
+        .repartitionById(len(bounds), F.col("part"))
         .sortWithinPartitions("part", "ahead", F.col("_id").asc_nulls_last(), "_text")
     )
 
