@@ -1,6 +1,7 @@
 """Operators on small fixtures: each large-data path must give what the plain path gives."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,13 +10,14 @@ from rollcall.operators.checks import assert_columns
 from rollcall.operators.dedupe import latest_per_key
 from rollcall.operators.dimensions import (
     given_lookup,
+    given_lookups,
     left_lookup,
     membership,
     outer_lookup,
     payload_bytes,
     without_match,
 )
-from rollcall.operators.nesting import nest
+from rollcall.operators.nesting import SHARES, nest, sorted_shares
 from rollcall.operators.reshape import typed_fill
 from rollcall.operators.rules import amount_rules, exclude_rule
 
@@ -155,3 +157,40 @@ def test_checks(dim):
     with pytest.raises(ValueError):
         assert_columns(dim, ["v", "k"])
     assert assert_columns(dim, ["k", "v"]) is dim
+
+
+def test_a_hot_key_is_sorted_in_shares(spark):
+    """A third of the rows and many distinct entries under one key: many tasks sort them."""
+    df = spark.range(0, 90_000, 1, 8).selectExpr("IF(id % 3 = 0, -1, id % 500) AS k", "concat('v', id) AS v")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        shares = sorted_shares(df, ["k"], {"vs": F.col("v")}).withColumn("part", F.spark_partition_id())
+        hot = shares.where("k = -1").collect()
+        assert len(hot) == SHARES and len({r.part for r in hot}) >= int(spark.conf.get("spark.sql.shuffle.partitions")) - 1
+        assert sum(len(r.vs) for r in hot) == 30_000 and max(len(r.vs) for r in hot) < 1000
+        assert all(list(r.vs) == sorted(r.vs) for r in hot)
+        longest = nest(df, ["k"], {"vs": F.col("v")}).where("k = -1").first().vs
+        assert longest == sorted(f"v{i}" for i in range(0, 90_000, 3))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_large_dimensions_shuffle_wide_rows_once(spark, hot, dim):
+    places = spark.createDataFrame([(1, "p"), (4, "q"), (4, "r"), (None, "n")], "id int, place string")
+    wide = hot.withColumn("wide", F.concat(F.lit("w"), "id"))
+    dims = [(dim, ["k"]), (places, ["id"])]
+    large = given_lookups(wide, dims, max_bytes=0)
+    assert rows(large) == rows(wide.join(dim, "k", "left").join(places, "id", "left"))
+    assert rows(given_lookups(wide, dims)) == rows(large)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = given_lookups(wide, dims, max_bytes=0)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        inputs = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", text)
+        assert sum("wide#" in x for x in inputs) == 1 and len(inputs) > 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
