@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import stored, text_of
 from rollcall.llm.ordering import part_bounds, part_column
-from rollcall.llm.tokens import id_type, word_encoder
+from rollcall.llm.tokens import forget, id_type, word_encoder
 
 #: Longest code, in bits: the decoding table has two to this power entries.
 LIMIT = 18
@@ -196,6 +196,7 @@ def id_counts(blocks: DataFrame, kind: str) -> np.ndarray:
     """How often each id occurs; one sum per id and task travels."""
 
     def counted(parts):
+        forget()
         total = np.zeros(0, dtype=np.int64)
         for batch in parts:
             for ids in batch.column("ids"):

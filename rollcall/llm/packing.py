@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import batches, run_number, stored, text_of
-from rollcall.llm.tokens import id_slices, id_type, word_encoder
+from rollcall.llm.tokens import forget, id_slices, id_type, word_encoder
 
 #: Tokens of a sequence.
 SEQUENCE = 4096
@@ -393,6 +393,7 @@ def packed(
         placed = placed.unionByName(turns)
 
     def cut(parts):
+        forget()
         cutter, narrow = Cutter(stretches), id_type(vocabulary)
         for batch in parts:
             for first, end in batches(batch.column("_ids"), CHUNK):

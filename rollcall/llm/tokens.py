@@ -15,9 +15,9 @@ from tokenizers import Tokenizer
 from rollcall.llm.common import spans
 
 #: Bytes of text whose words are looked up together.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Words remembered by a worker: so many recent ones, and as many before them.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Letters of the longest word that is remembered.
 LONG = 64
 #: Below this letter no text changes under NFC, and lower case and classes are settled, but for
@@ -209,6 +209,11 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def forget() -> None:
+    """Drop the words a worker remembers: a later step of other work needs the room."""
+    word_encoder.cache_clear()
+
+
 @cache
 def id_type(path: str) -> str:
     """The narrowest unsigned type that holds every id of a vocabulary."""
