@@ -12,12 +12,12 @@ MOST_PARTS = 100_000
 
 
 def part_bounds(
-    df: DataFrame, id_column: str, text: str, parts: int | None = None, part_bytes: int = PART_BYTES
+    df: DataFrame, id_column: str, text: str, parts: int | None = None, part_bytes: int | None = None
 ) -> list[int]:
     """Ids that cut the table into about equal parts; the first is the smallest.
 
-    Unless given, the number of parts is that of the table's bytes over ``part_bytes``, whatever
-    the session's settings: a part is as large in a large table as in a small one.  The cuts are
+    Unless given, the number of parts is that of the table's bytes over ``part_bytes`` (else
+    ``PART_BYTES``), whatever the session's settings: a part is as large in a large table as in a small one.  The cuts are
     quantiles of the ids, for which only these are read.  No ids give no bounds.
     """
     found = df.agg(
@@ -25,7 +25,7 @@ def part_bounds(
     ).first()
     if found.low is None:
         return []
-    wanted = parts or min(MOST_PARTS, found.bytes // part_bytes + 1)
+    wanted = parts or min(MOST_PARTS, found.bytes // (part_bytes or PART_BYTES) + 1)
     shares = [i / wanted for i in range(1, wanted)]
     cuts = df.agg(F.percentile_approx(id_column, shares, max(10_000, 10 * wanted))).first()[0] if shares else []
     return sorted({int(found.low), *map(int, cuts or [])})

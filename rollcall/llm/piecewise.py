@@ -14,7 +14,7 @@ from rollcall.llm.ordering import part_bounds, part_column
 
 #: Most letters of the finer signature; block sizes are the least times powers of two.
 LETTERS, LEAST_BLOCK = 64, 3
-#: Signatures are alike only if they share a run of so many letters (or are equal).
+#: Signatures are alike only if they share a run of so many letters, short ones of fewer.
 RUN = 4
 ALPHABET = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"
 _WINDOW, _FACTOR, _MIX = 7, np.uint32(0x01000193), np.uint32(0x2C1B3C6D)
@@ -131,10 +131,10 @@ def edit_distances(first: list[str], second: list[str]) -> np.ndarray:
 
 
 def _share_run(a: str, b: str) -> bool:
-    if min(len(a), len(b)) < RUN:
-        return a == b
-    runs = {a[i : i + RUN] for i in range(len(a) - RUN + 1)}
-    return any(b[i : i + RUN] in runs for i in range(len(b) - RUN + 1))
+    """Whether both have a run of ``RUN`` letters; of short ones, of all letters but one."""
+    run = min(RUN, max(1, min(len(a), len(b)) - 1))
+    runs = {a[i : i + run] for i in range(len(a) - run + 1)}
+    return any(b[i : i + run] in runs for i in range(len(b) - run + 1))
 
 
 def likeness(pairs: list[tuple[str, str]]) -> np.ndarray:
@@ -142,7 +142,7 @@ def likeness(pairs: list[tuple[str, str]]) -> np.ndarray:
 
     Signatures at the same block size are compared by edit distance; the better of the two
     sizes they share counts, and block sizes further apart than twice have none.  Equal
-    fingerprints are 1, signatures without a common run of four letters 0.
+    fingerprints are 1, signatures without a common run of letters 0.
     """
     result = np.array([float(a == b) for a, b in pairs])
     rows, left, right = [], [], []

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from rollcall.llm import piecewise, queries
+from rollcall.llm import ordering, piecewise, queries
 from tests.compare import duckdb_tables
 from tests.llm.conftest import LONG, TEXTS
 
@@ -62,14 +62,11 @@ def test_against_brute_force(spark):
     assert sum(near) / len(near) > 0.6 and sum(r.near_next for r in rows.values()) / len(rows) < 0.1
 
 
-@pytest.mark.parametrize("parts", ["1", "4"])
-def test_awkward(awkward, nothing, spark, parts):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
-    try:
-        rows = piecewise.compared(awkward).collect()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+@pytest.mark.parametrize("size", [32 << 20, 100_000, 40])
+def test_awkward(awkward, nothing, size, monkeypatch):
+    # One part, some, or as many as there are ids.
+    monkeypatch.setattr(ordering, "PART_BYTES", size)
+    rows = piecewise.compared(awkward).collect()
     got = sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in rows)
     want = sorted((str(n), len(t), hashlib.sha256(e.encode()).hexdigest()) for n, t, e, _ in walk(TEXTS))
     assert got == want
@@ -98,3 +95,27 @@ def test_edit_distances():
         b = "".join(c for c in a if rnd.random() < 0.8) + "".join(rnd.choice("ABC") for _ in range(rnd.randint(0, 9)))
         pairs.append((a, b[:64]))
     assert list(piecewise.edit_distances(*zip(*pairs, strict=True))) == [edit_distance(a, b) for a, b in pairs]
+
+
+def test_parts_follow_the_bytes(spark):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id AS _id", "repeat('x', 84) AS _text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("2", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert abs(len(ordering.part_bounds(df, "_id", "_text", part_bytes=10_000)) - 41) <= 1
+            assert len(ordering.part_bounds(df.where("_id < 2000"), "_id", "_text", part_bytes=10_000)) <= 21
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_short_texts_are_alike():
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcdefghij klmno") for _ in range(rnd.randint(12, 50))) for _ in range(400)]
+    others = ["".join(rnd.choice("abcdefghij klmno") for _ in range(50)) for _ in texts]
+    edited = [t[: len(t) - len(t) // 4] + o[: len(t) // 4] for t, o in zip(texts, others, strict=True)]
+    prints, edited_prints, other_prints = map(piecewise.fingerprints, (texts, edited, others))
+    near = piecewise.likeness(list(zip(prints, edited_prints, strict=True)))
+    apart = piecewise.likeness(list(zip(prints, other_prints, strict=True)))
+    assert (near > 0).mean() > 0.9 and near.mean() > 0.5
+    assert apart.mean() < 0.15
