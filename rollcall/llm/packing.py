@@ -338,7 +338,9 @@ def packed(
 
     Sequences are full; the rest is laid out in sequences of powers of two.  A null text counts
     as empty: its document is ``end_id`` alone.  Null sources are one source.  Repeated rows
-    and null ids are documents like others; an empty table has no pieces.
+    and null ids are documents like others, ids of any type; an empty table has no pieces.
+    Texts of any length are encoded whole and cut; other columns, whatever their names, do not
+    matter.
 
     Documents of a queue of their own never move: each task computes the windows of its
     documents from the number of tokens before them, which is summed up by run and source.

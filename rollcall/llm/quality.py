@@ -184,7 +184,10 @@ def scored(
     """One row per document: its id, ``held_out``, ``score``, ``predicted``.
 
     The score depends on the text alone.  Null texts score as empty ones do, and a table
-    without labels gives 0.5 for every text.  Repeated rows and null ids stay as they are.
+    without labels gives 0.5 for every text.  Repeated rows and null ids stay as they are; ids
+    may have any type.  Texts of any length are measured whole, one task holding about 100 bytes
+    for each of one text.  No documents give no rows; other columns, whatever their names, do
+    not matter.
     """
     score = score_column(fitted(docs, labels, id_column, text), text)
     rows = docs.select(
@@ -196,7 +199,7 @@ def scored(
 def accepted(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows whose score is at least one half, with all their columns."""
+    """The rows whose score is at least one half, with all their columns, whatever their names."""
     name = free_name(docs, "_score")
     score = score_column(fitted(docs, labels, id_column, text), text)
     return docs.withColumn(name, score).where(F.col(name) >= 0.5).select(*docs.columns)

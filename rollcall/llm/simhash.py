@@ -163,8 +163,10 @@ def near_groups(
     linked like any other.  Documents whose fingerprints differ in ``bits`` or fewer are
     linked; the smallest id reachable is the component's, and its row is kept.  Rows of one id
     are ordered by their place in the input (or the unique numbers in ``row``); null ids come last, and a component of null ids
-    has a null id.  An empty table gives an empty result.
-
+null ids come last, and a component of null ids
+    has a null id.  Texts of any length are hashed whole; ids may have any type that has an
+    order.  An empty table gives an empty result; other columns, whatever their names, do not
+    matter.
     Equal fingerprints are one node, so copies cost nothing in the search.
     """
     rows = fingerprints(docs, id_column, text, words, row_number(row))
