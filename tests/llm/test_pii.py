@@ -1,7 +1,10 @@
 import datetime
 import hashlib
+import random
 import re
 
+import regex
+
 from rollcall.llm import pii, queries
 from tests.compare import duckdb_tables
 from tests.llm.conftest import TEXTS
@@ -205,3 +208,180 @@ def test_long_runs(spark):
         assert rows[i].text.endswith(f" ;; {new}")
         assert len(rows[i].text) == len(run) + 4 + len(mail)
     assert [rows[i].text[: len(runs[i])] == runs[i] for i in (4, 5, 14, 15, 16)] == [True] * 5
+
+
+LOCAL = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+ALNUM = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+LETTERS, DIGITS = {c for c in ALNUM if c.isalpha()}, set("0123456789")
+
+
+def at(text, i):
+    return text[i] if 0 <= i < len(text) else ""
+
+
+def run_end(text, i, chars, most=10**9):
+    j = i
+    while j < len(text) and j - i < most and text[j] in chars:
+        j += 1
+    return j
+
+
+def domain_end(text, i):
+    """The end of the domain with the most labels, then the most letters, behind a sign at ``i``."""
+    if at(text, i) != "@":
+        return None
+    ends, j = [], i + 1
+    while len(ends) < 126:
+        k = run_end(text, j, ALNUM | {"-"}, 63)
+        if k == j or at(text, k) != ".":
+            break
+        j = k + 1
+        ends.append(j)
+    for j in reversed(ends):
+        k = run_end(text, j, LETTERS)
+        if k - j >= 2:
+            return k
+    return None
+
+
+def email_end(text, i):
+    if at(text, i) not in LOCAL:
+        return None
+    first = i == 0 or text[i - 1] not in LOCAL
+    j = run_end(text, i, LOCAL, 64)
+    if first:
+        return domain_end(text, j)
+    # The last 64 signs of a longer run.
+    start = i
+    while start and text[start - 1] in LOCAL:
+        start -= 1
+    whole = run_end(text, start, LOCAL) - start
+    return domain_end(text, j) if j - i == 64 and whole >= 65 else None
+
+
+def date_end(text, i):
+    if i and text[i - 1] in DIGITS | set("./-"):
+        return None
+    part = text[i : i + 10]
+    if at(text, i + 10) in DIGITS and at(text, i + 10):
+        return None
+    forms = [(r"(\d{4})-(\d\d)-(\d\d)", "ymd"), (r"(\d\d)([./-])(\d\d)\2(\d{4})", None)]
+    for pattern, order in forms:
+        m = re.fullmatch(pattern, part, re.ASCII)
+        if not m:
+            continue
+        tries = [(m[1], m[2], m[3])] if order else [(m[4], m[3], m[1]), (m[4], m[1], m[3])]
+        for y, mo, d in tries:
+            try:
+                if 1800 <= datetime.date(int(y), int(mo), int(d)).year < 2200:
+                    return i + 10
+            except ValueError:
+                pass
+    return None
+
+
+def social_end(text, i):
+    m = re.compile(r"(\d{3})-(\d\d)-(\d{4})", re.ASCII).match(text, i)
+    if not m or (i and text[i - 1] in DIGITS | {"-"}) or (at(text, m.end()) and at(text, m.end()) in DIGITS | {"-"}):
+        return None
+    bad = m[1] in ("000", "666") or m[1][0] == "9" or m[2] == "00" or m[3] == "0000"
+    return None if bad else m.end()
+
+
+def address_end(text, i):
+    if i and text[i - 1] in DIGITS | {"."}:
+        return None
+    m = re.compile(r"\d+\.\d+\.\d+\.\d+", re.ASCII).match(text, i)
+    if not m or (at(text, m.end()) == "." and at(text, m.end() + 1) and at(text, m.end() + 1) in DIGITS):
+        return None
+    octets = m[0].split(".")
+    return m.end() if all(str(int(o)) == o and int(o) < 256 for o in octets) else None
+
+
+def valid_cards(text):
+    found = set()
+    for i in range(len(text)):
+        if text[i] in DIGITS and (i == 0 or text[i - 1] not in DIGITS):
+            m = re.compile(r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)", re.ASCII).match(text, i)
+            if m and luhn(re.sub("[^0-9]", "", m[0])):
+                found.add(m[0])
+    return found
+
+
+def valid_accounts(text):
+    known = {c: n for n, codes in pii.ACCOUNT_LENGTHS.items() for c in codes.split()}
+    shape = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?[A-Za-z0-9]*")
+    found = set()
+    for i in range(len(text)):
+        m = shape.match(text, i) if i == 0 or text[i - 1] not in ALNUM else None
+        best = None
+        words = m[0].split(" ") if m else []
+        for n in range(1, len(words) + 1):
+            a = "".join(words[:n])
+            if re.fullmatch("[A-Z0-9]{15,34}", a) and len(re.sub("[^0-9]", "", a[4:])) >= 2:
+                if int("".join(str(int(c, 36)) for c in a[4:] + a[:4])) % 97 == 1:
+                    best = max(best or (False, 0, ""), (known.get(a[:2]) == len(a), len(a), " ".join(words[:n])))
+        if best:
+            found.add(best[2])
+    return found
+
+
+def brute_found(text):
+    """Kind, start and end of what is found, place by place; phones by their pattern alone."""
+    cards, accounts = valid_cards(text), valid_accounts(text)
+    one_of = lambda values: "|".join(map(regex.escape, sorted(values, key=lambda v: (-len(v), v))))
+    stops = pii._STOPS + (f"|(?<![0-9])(?=[0-9])(?:{one_of(cards)})(?![0-9])" if cards else "")
+    phones = regex.compile(pii.phone_pattern(stops))
+
+    def set_end(values, chars):
+        def end(text, i):
+            if i and text[i - 1] in chars:
+                return None
+            ends = [i + len(v) for v in values if text.startswith(v, i) and at(text, i + len(v)) not in chars]
+            return max(ends, default=None)
+
+        return end
+
+    def phone_end(text, i):
+        m = phones.match(text, i)
+        return m.end() if m else None
+
+    kinds = [
+        ("email", email_end), ("account", set_end(accounts, ALNUM)), ("date", date_end), ("social", social_end),
+        ("address", address_end), ("phone", phone_end), ("card", set_end(cards, DIGITS)),
+    ]
+    found, i = [], 0
+    while i < len(text):
+        for kind, end in kinds:
+            j = end(text, i)
+            if j:
+                found.append((kind, i, j))
+                i = j
+                break
+        else:
+            i += 1
+    return found
+
+
+def test_all_kinds_against_a_slow_finder(spark):
+    rnd = random.Random(11)
+    parts = [
+        "a@b.co", "Hein.19@mail5.example.com", "x" * 70 + "@long.example.org", "@b.co", "a@b", "a@b.c1.de", "q@-.x.yz",
+        "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765433", "ES91 2100 0418 4502 0005 1332",
+        "AB12", "CD34", "2024-05-01", "2023-02-29", "2000-02-29", "29.02.2000", "31/12/1999", "12-31-1999", "1.1.2000",
+        "123-45-6789", "666-45-6789", "1.2.3.4", "256.1.1.1", "10.0.0.255", "10.0.0.255.1", "4111 1111 1111 1111",
+        "4111111111111111", "4111111111111112", "378282246310005", "3782 822463 10005", "+49 30 1234567",
+        "+1 (343) 555-6039", "343-555-6039", "+44 20 7946 0958", "(343) 555-6039", "42", "2024", "USD", "x", "é", "日本",
+    ]
+    joins = [" ", " ", " ", "", "-", ".", ", ", "\n", "/", ":", "+"]
+    texts = ["".join(rnd.choice(parts) + rnd.choice(joins) for _ in range(rnd.randint(1, 9))) for _ in range(1500)]
+    rows, kinds = made(spark, texts), set()
+    for i, text in enumerate(texts):
+        found, new = brute_found(text), rows[i].text
+        assert [p.kind for p in rows[i].pseudonyms] == [k for k, _, _ in found], (text, new, found)
+        want, last = "", 0
+        for (kind, a, b), p in zip(found, rows[i].pseudonyms, strict=True):
+            want, last = want + text[last:a] + p.value, b
+            kinds.add(kind)
+        assert new == want + text[last:], (text, found)
+    assert kinds == set(pii.KINDS)
