@@ -45,6 +45,14 @@ def test_given_lookup_is_measured(hot, dim):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
+def test_exploded_dimension_is_not_broadcast(spark):
+    """Spark estimates it by the few rows it explodes."""
+    df = spark.range(20_000_000).selectExpr("id", "id % 9 AS k")
+    dim = spark.range(20).selectExpr("id AS k", "explode(sequence(1, 5000)) AS v")
+    joined = given_lookup(df, dim, ["k"], max_bytes=0)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_key_is_split(spark):
     """Adaptive execution splits the partition of a key with a third of the rows, null ids included."""
     settings = {
