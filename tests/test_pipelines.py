@@ -108,6 +108,15 @@ def test_dimensions_are_broadcast_and_the_filter_is_below_the_joins(spark):
     assert len(joins) >= 2 and exclusion and min(exclusion) > joins[1]
 
 
+def test_catalogue_of_one_small_file_is_made_by_many_tasks(spark, tmp_path):
+    suppliers = spark.range(1, 1201, 1, 1).selectExpr("CAST(id AS INT) AS s_suppkey", "'S' AS s_name")
+    suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
+    rows = view(spark, str(tmp_path), "programme_catalogue")
+    assert rows.rdd.getNumPartitions() == 3
+    # 2 origins, 4 programmes, 3 registers, 7 years; each sixth supplier has 8 rows more.
+    assert rows.count() == 1200 * 168 + 200 * 8
+
+
 def test_monthly_scan_is_pruned(spark, tmp_path):
     root = str(tmp_path / "public")
     write_partitioned(queries()["publication"](spark, SF), root, ["anio", "numespago"])
