@@ -4,6 +4,8 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from rollcall.plans.monthly import monthly_catalog
@@ -25,6 +27,7 @@ from rollcall.sources.files import (
 )
 from rollcall.streaming.arrivals import ingest_arrivals
 from tests.compare import difference, duckdb_tables
+from workload.deliveries import OPEN_YEARS, write_deliveries
 from workload.oracles import statements
 from workload.queries import OLDER, registered
 from workload.views import view
@@ -117,6 +120,24 @@ def test_catalogue_of_one_small_file_is_made_by_many_tasks(spark, tmp_path):
     assert rows.count() == 1200 * 168 + 200 * 8
 
 
+def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    name, plain, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
+
+    def csv(writer, *args, **options):
+        seen.append(int(spark.conf.get(name)))
+        plain(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", csv)
+    empty = [F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS if c != "newid"]
+    rows = spark.range(0, 900, 1, 2).select(
+        F.col("id").cast("string").alias("newid"), *empty, (F.col("id") % 9 + 1992).cast("int").alias("file_year")
+    )
+    before = spark.conf.get(name, None)
+    read = read_registry(spark, write_deliveries(rows, str(tmp_path / "years")))
+    assert seen == [OPEN_YEARS] and OPEN_YEARS > 9 and spark.conf.get(name, None) == before
+    assert sorted((int(r.newid), r.file_year) for r in read.collect()) == [(i, i % 9 + 1992) for i in range(900)]
+
+
 def test_monthly_scan_is_pruned(spark, tmp_path):
     root = str(tmp_path / "public")
     write_partitioned(queries()["publication"](spark, SF), root, ["anio", "numespago"])
