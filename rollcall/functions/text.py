@@ -1,5 +1,7 @@
 """Text and number cleaners."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,16 @@ def strip_quotes(c: Column) -> Column:
     return F.replace(c, F.lit('"'), F.lit(""))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used.
+
+    Spark does not fuse a projection with such an expression into the one method of its stage.
+    Wide layers of cleaners are then many small methods, which the JVM compiles; a method of more
+    than 8,000 bytes it interprets.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 #: Text of a whole number of up to nineteen digits.
 _WHOLE = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
 
@@ -30,8 +42,9 @@ def clean_int(c: Column) -> Column:
     The text is checked before the cast, as a failing cast costs far more than the check.
     Numbers beyond 32 bits are null.
     """
-    n = clean_long(c)
-    return F.when(n.between(-(2**31), 2**31 - 1), n.cast("int"))
+    return once(
+        clean_long(c), lambda n: F.when(n.between(-(2**31), 2**31 - 1), n.cast("int"))
+    )
 
 
 def clean_long(c: Column) -> Column:
@@ -42,8 +55,10 @@ def clean_long(c: Column) -> Column:
 
 def short_code(c: Column, last: int, width: int) -> Column:
     """A whole number from 1 to ``last``, zero-padded to ``width``; else null."""
-    n = clean_long(c)
-    return F.when(n.between(1, last), F.lpad(n.cast("string"), width, "0"))
+    return once(
+        clean_long(c),
+        lambda n: F.when(n.between(1, last), F.lpad(n.cast("string"), width, "0")),
+    )
 
 
 def number_text(c: Column) -> Column:

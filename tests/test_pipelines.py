@@ -2,12 +2,14 @@
 
 import gzip
 import os
+import re
 
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
+from rollcall.plans import registry
 from rollcall.plans.monthly import monthly_catalog
 from rollcall.schemas import (
     FULL_COLUMNS,
@@ -16,6 +18,7 @@ from rollcall.schemas import (
     PUBLIC_COLUMNS,
     PUBLIC_SCHEMA,
     RAW_COLUMNS,
+    RAW_SCHEMA,
 )
 from rollcall.sinks.tables import published, register_table, write_partitioned
 from rollcall.sinks.text import write_documents
@@ -277,3 +280,17 @@ def test_documents_are_line_pairs(spark, tmp_path):
     lines = queries()["bulk_docs"](spark, SF)
     write_documents(lines, path)
     assert spark.read.text(path).count() == 2 * lines.count()
+
+
+def test_cleaning_is_compiled(spark):
+    """No method of the cleaning step is larger than the JVM compiles."""
+    raw = spark.createDataFrame([(None,) * len(RAW_COLUMNS)], RAW_SCHEMA).withColumn("file_year", F.lit(2016))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = registry.clean_registry(raw)._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and max(sizes) <= 8000
