@@ -17,8 +17,7 @@ from rollcall.operators.dimensions import (
     payload_bytes,
     without_match,
 )
-from rollcall.operators import nesting
-from rollcall.operators.nesting import SHARES, more_parts, nest, sorted_shares
+from rollcall.operators.nesting import PARTS, SHARES, nest, sorted_shares
 from rollcall.operators.reshape import typed_fill
 from rollcall.operators.rules import amount_rules, exclude_rule
 
@@ -205,20 +204,17 @@ def test_large_dimensions_shuffle_wide_rows_once(spark, hot, dim):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_nest_deals_by_rows_not_by_the_session(spark, monkeypatch):
-    """Many rows and few shuffle partitions: tasks of some rows each, the same lists."""
+def test_distinct_entries_are_dealt_whatever_the_session_has(spark):
+    """Every step of nest goes to many partitions, without a job; the lists are the same."""
     df = spark.range(0, 60_000, 1, 8).selectExpr(
         "IF(id % 3 = 0, -1, id % 50) AS k", "IF(id % 4 = 0, 'same', concat('v', id)) AS v", "id % 7 AS x"
     )
     lists, least = {"vs": F.col("v"), "xs": F.struct("x")}, {"least": F.col("x")}
-    plain = nest(df, ["k"], lists, least)
-    monkeypatch.setattr(nesting, "more_parts", lambda df: more_parts(df, 2_000))
-    dealt = nest(df, ["k"], lists, least)
-    assert rows(dealt) == rows(plain)
+    dealt = nest(df, ["k"], lists, least, distinct=True)
     plan = dealt._jdf.queryExecution().executedPlan().toString()
-    assert re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan) == ["30"] * 3
+    assert re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), REBALANCE", plan) == [str(PARTS)] * 3
     assert plan.count("Exchange") == 3
-    shares = sorted_shares(df, ["k"], {"vs": F.col("v")}, parts=30)
+    assert rows(dealt) == rows(nest(df, ["k"], lists, least))
+    shares = sorted_shares(df, ["k"], {"vs": F.col("v")}, distinct=True)
     hot = [x.n for r in shares.where("k = -1").collect() for x in r.vs if x.entry == "same"]
     assert sum(hot) == 5_000 and len(hot) > 1
-    assert more_parts(df) == 0
