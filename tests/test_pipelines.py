@@ -9,7 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from rollcall.plans import registry
+from rollcall.plans import catalogues, registry
 from rollcall.plans.monthly import monthly_catalog
 from rollcall.schemas import (
     FULL_COLUMNS,
@@ -21,7 +21,7 @@ from rollcall.schemas import (
     RAW_SCHEMA,
 )
 from rollcall.sinks.tables import published, register_table, write_partitioned
-from rollcall.sinks.text import write_documents
+from rollcall.sinks.text import as_text, write_documents
 from rollcall.sources.files import (
     decode_lines,
     read_registry,
@@ -123,6 +123,22 @@ def test_catalogue_of_one_small_file_is_made_by_many_tasks(spark, tmp_path):
     assert rows.count() == 1200 * 168 + 200 * 8
 
 
+def test_lists_are_written_out_once_for_all_surveyed_programmes(spark):
+    """Not once for each, above the join; and files of large lists hold one programme's only."""
+    assert "to_json" not in plan(queries()["catalog_arrays"](spark, SF))
+    names = ("programme_catalogue", "survey_programmes", "crosswalk", "survey_components")
+    tables = [view(spark, SF, name) for name in names]
+
+    def listed(**options):
+        return catalogues.listed_catalogue(*tables, **options)
+
+    dealt = listed(text=True, max_bytes=5_000).withColumn("task", F.spark_partition_id())
+    plain = as_text(listed())
+    assert sorted(map(repr, dealt.drop("task").collect())) == sorted(map(repr, plain.collect()))
+    tasks = dealt.where("cuaps_folio <> 'null' AND iduni <> '[]'").groupBy("task")
+    assert tasks.agg(F.count_distinct("iduni").alias("n")).agg(F.max("n")).first()[0] == 1
+
+
 def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     name, plain, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
 
