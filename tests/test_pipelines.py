@@ -124,7 +124,7 @@ def test_catalogue_of_one_small_file_is_made_by_many_tasks(spark, tmp_path):
 
 
 def test_lists_are_written_out_once_for_all_surveyed_programmes(spark):
-    """Not once for each, above the join; and files of large lists hold one programme's only."""
+    """Not once for each, above the join; and files of large lists hold one list only."""
     assert "to_json" not in plan(queries()["catalog_arrays"](spark, SF))
     names = ("programme_catalogue", "survey_programmes", "crosswalk", "survey_components")
     tables = [view(spark, SF, name) for name in names]
