@@ -21,9 +21,10 @@ from rollcall.schemas import (
     RAW_SCHEMA,
 )
 from rollcall.sinks.tables import published, register_table, write_partitioned
-from rollcall.sinks.text import as_text, write_documents
+from rollcall.sinks.text import as_text, write_documents, write_pipe_csv
 from rollcall.sources.files import (
     decode_lines,
+    read_named,
     read_registry,
     repair_text,
     sample_rows,
@@ -139,6 +140,35 @@ def test_lists_are_written_out_once_for_all_surveyed_programmes(spark):
     assert tasks.agg(F.count_distinct("iduni").alias("n")).agg(F.max("n")).first()[0] == 1
 
 
+def test_listed_csv_takes_a_fraction_of_its_text_on_disk(spark, tmp_path):
+    """A programme's lists are in the file once for each surveyed programme that has them."""
+    tables = {
+        "supplier": ["CAST(id AS INT) AS s_suppkey", "'S ' || id AS s_name"],
+        "part": [
+            "id AS p_partkey", "CAST(id AS INT) AS p_size", "'p' AS p_name", "'t' AS p_type",
+            "'b' AS p_brand",
+        ],
+        "lineitem": [
+            "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "30.0 AS l_quantity",
+            "'R' AS l_returnflag", "0.0 AS l_discount",
+        ],
+        "region": ["id AS r_regionkey"],
+    }
+    for name, columns in tables.items():
+        rows = spark.range(1, 601, 1, 1).selectExpr(*columns)
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    plain = f"{tmp_path}/plain"
+    write_pipe_csv(queries()["catalog_arrays"](spark, str(tmp_path)), plain)
+    read = queries()["listed_csv"](spark, str(tmp_path))
+    assert sorted(map(repr, read.collect())) == sorted(map(repr, read_named(spark, plain).collect()))
+    written = os.path.dirname(read.inputFiles()[0].removeprefix("file://"))
+    text, disk = (
+        sum(os.path.getsize(os.path.join(d, f)) for f in os.listdir(d) if f.startswith("part-"))
+        for d in (plain, written)
+    )
+    assert text > 1_000_000 and disk * 5 < text
+
+
 def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     name, plain, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
 
