@@ -89,7 +89,7 @@ def _distance(a: str, b: str) -> Column:
 def _followed(alike: DataFrame, key: list[str]) -> DataFrame:
     """Links of the sharers of each variant to the smallest of them."""
     hubs = alike.groupBy(*key, "_near").agg(F.min("_print").alias("_hub"), F.count(F.lit(1)).alias("_m"))
-    return alike.join(hubs.where("_m > 1"), [*key, "_near"]).select(
+    return alike.join(hubs.where("_m > 1").hint("merge"), [*key, "_near"]).select(
         F.col("_print").alias("a"), F.col("_hub").alias("b")
     )
 
@@ -101,7 +101,8 @@ def links(prints: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     pair is compared.  In a large one the other segment is signed too, by its variants with one
     bit turned: sharers of such a variant are two bits apart at most, and follow its smallest;
     for one bit, a variant meets the fingerprint that equals it instead.
-    Every link is verified; none is lost and no large bucket is paired.
+    Every link is verified; none is lost and no large bucket is paired.  Joins here are merged,
+    never broadcast: Spark estimates signatures by the fingerprints they are exploded from.
     """
     if not 1 <= bits <= 2:
         raise ValueError("two segments with one wildcard find fingerprints one or two bits apart")
@@ -111,10 +112,10 @@ def links(prints: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sum("_side").alias("_ones"), F.first("_whole").alias("_w")
     )
     live = sizes.where("IF(_w, _n > 1, _ones > 0 AND _ones < _n)").select(*key, "_n")
-    members = stored(signed.join(live, key), "buckets")
+    members = stored(signed.join(live.hint("merge"), key), "buckets")
     small = members.where(F.col("_n") <= bucket)
     other = small.select(*key, F.col("_print").alias("_other"), F.col("_side").alias("_other_side"))
-    pairs = small.join(other, key).where(
+    pairs = small.join(other.hint("merge"), key).where(
         "IF(_whole, _print < _other, _side < _other_side)"
     ).where(_distance("_print", "_other") <= bits).select(
         F.col("_print").alias("a"), F.col("_other").alias("b")
@@ -133,7 +134,7 @@ def links(prints: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
         equal = large.where("_whole").select(
             *key, F.col("_print").alias("_other"), F.col("_far").alias("_near")
         )
-        follow = alike.join(equal, [*key, "_near"]).select(
+        follow = alike.join(equal.hint("merge"), [*key, "_near"]).select(
             F.col("_print").alias("a"), F.col("_other").alias("b")
         )
     else:
@@ -143,7 +144,7 @@ def links(prints: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
     zeros = large.where("NOT _whole AND _side = 0").select(
         *key, F.col("_print").alias("_zero"), F.col("_far").alias("_near")
     )
-    across = ones.join(zeros, [*key, "_near"]).select(F.col("_print").alias("a"), F.col("_zero").alias("b"))
+    across = ones.join(zeros.hint("merge"), [*key, "_near"]).select(F.col("_print").alias("a"), F.col("_zero").alias("b"))
     found = pairs.unionByName(follow).unionByName(across)
     return found.where((F.col("a") != F.col("b")) & (_distance("a", "b") <= bits))
 

@@ -118,3 +118,22 @@ def test_one_bit_in_a_large_bucket(spark):
         found = simhash.links(spark.createDataFrame([(x,) for x in codes], "_print long"), 1).collect()
         have = {frozenset((r.a, r.b)) for r in found}
         assert have == {frozenset((x, y)) for x in codes for y in codes if (x ^ y).bit_count() == 1}
+
+
+def test_signatures_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes the exploded signatures for as small as the fingerprints, and would broadcast them."""
+    rnd = random.Random(4)
+    near = [rnd.getrandbits(62) ^ (1 << b) for _ in range(20) for b in range(2)]
+    spark.createDataFrame([(x,) for x in {*near, *range(100)}], "_print long").write.parquet(f"{tmp_path}/prints")
+    plans, stored = [], simhash.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    for bits in (1, 2):
+        found = simhash.links(spark.read.parquet(f"{tmp_path}/prints"), bits)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 4
+    assert all("SortMergeJoin" in p and "BroadcastExchange" not in p for p in plans)
