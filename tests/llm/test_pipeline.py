@@ -89,3 +89,18 @@ def test_copies_without_ids(spark):
     assert [r.doc_id for r in corpus_pipeline.exact_dedup(spark, docs, SMALL).collect()] == [2]
     assert [r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, SMALL).collect()] == [2]
     assert simhash.near_groups(docs).where("kept").count() == 1
+
+
+def test_signatures_stay_off_the_driver(spark, monkeypatch):
+    """No table of the near-copy stage that is made of exploded rows is broadcast."""
+    docs = stored(table(spark, SMALL, "documents"), "test-docs")
+    plans, kept = [], simhash.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    corpus_pipeline.simhash_dedup(spark, docs, SMALL)
+    exploded = [p for p in plans if "Generate explode" in p]
+    assert exploded and not any("BroadcastExchange" in p for p in exploded)
