@@ -224,6 +224,22 @@ def test_large_dimensions_shuffle_wide_rows_once(spark, hot, dim):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_one_large_dimension_reads_rows_once(spark, dim):
+    """Its rows are neither read a second time for their keys nor computed in columns nobody uses."""
+    wide = spark.range(0, 600, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 > 0 THEN concat('k', id % 7) END AS k", "id",
+        "concat('w', id) AS wide",
+    )
+    places = spark.createDataFrame([(1, "p"), (4, "q"), (4, "r"), (None, "n")], "id long, place string")
+    bound = payload_bytes(places)
+    assert payload_bytes(dim) > bound
+    joined = given_lookups(wide, [(places, ["id"]), (dim, ["k"])], max_bytes=bound)
+    assert rows(joined) == rows(wide.join(dim, "k", "left").join(places, "id", "left"))
+    plan = joined.select("id", "v", "place")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("concat(w") == 0 and plan.count("SortMergeJoin") == 1
+    assert plan.index("BroadcastHashJoin") < plan.index("SortMergeJoin")
+
+
 def test_distinct_entries_are_dealt_whatever_the_session_has(spark):
     """Every step of nest goes to many partitions, without a job; the lists are the same."""
     df = spark.range(0, 60_000, 1, 8).selectExpr(

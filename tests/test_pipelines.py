@@ -9,6 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
+from rollcall.functions.encoding import strip_non_ascii
 from rollcall.plans import catalogues, registry
 from rollcall.plans.monthly import monthly_catalog
 from rollcall.schemas import (
@@ -22,6 +23,7 @@ from rollcall.schemas import (
 )
 from rollcall.sinks.tables import published, register_table, write_partitioned
 from rollcall.sinks.text import as_text, write_documents, write_pipe_csv
+from rollcall.sources import files
 from rollcall.sources.files import (
     decode_lines,
     read_named,
@@ -340,3 +342,26 @@ def test_cleaning_is_compiled(spark):
         spark.conf.set("spark.sql.adaptive.enabled", before)
     sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
     assert sizes and max(sizes) <= 8000
+
+
+def method_sizes(spark, df):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    return [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+
+
+def test_repairing_is_compiled(spark, tmp_path):
+    """Nor any of the repair of a delivery, which keeps missing values."""
+    text = "|".join(RAW_COLUMNS) + "\n" + "|".join("" if c == "periodo" else f"{c} ñ" for c in RAW_COLUMNS) + "\n"
+    (tmp_path / "registry_2016.txt").write_bytes(text.encode("latin-1"))
+    raw = files.read_registry(spark, str(tmp_path / "registry_2016.txt"), files.ORIGINAL)
+    found = files.repaired(raw, strip_non_ascii)
+    sizes = method_sizes(spark, found)
+    assert not sizes or max(sizes) <= 8000
+    row = found.first()
+    assert all(row[c] == (None if c == "periodo" else f"{c} ") for c in RAW_COLUMNS)
