@@ -9,6 +9,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -158,6 +159,26 @@ def test_files_are_bounded_without_a_shuffle(spark, tmp_path):
     assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_public_table_is_written_without_a_shuffle(spark, roots, monkeypatch):
+    """Its files are bounded however many the full table has; no row moves."""
+    plans, parquet = [], DataFrameWriter.parquet
+
+    def seen(self, path, *args, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return parquet(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    cells = [(2011 + i % 2, i % 3 or None, i) for i in range(600)]
+    tables.write_years(full_rows(spark, cells).repartition(30).sortWithinPartitions("newid"), *roots)
+    assert len(plans) == 2 and "Exchange" not in plans[1]
+    files = [[len(list(m.glob("*.parquet"))) for m in Path(r).glob("anio=*/numespago=*")] for r in roots]
+    assert max(files[0]) > 4 >= max(files[1]) and len(files[1]) == 6
+    public = spark.read.parquet(roots[1])
+    assert sorted((r.anio, r.numespago, r.newid) for r in public.fillna(0, ["numespago"]).collect()) == sorted(
+        (y, m or 0, i) for y, m, i in cells
+    )
+
+
 def test_compressed_deliveries_are_cleaned_by_many_tasks(spark, tmp_path):
     lines = ["|".join(RAW_COLUMNS)] + ["|".join(str(i) if c == "newid" else "x" for c in RAW_COLUMNS) for i in range(5000)]
     folder = tmp_path / "file_year=2011"
